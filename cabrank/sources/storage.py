@@ -88,16 +88,23 @@ def first_rows(df: DataFrame, rows: int = 10_000) -> DataFrame:
     return df.orderBy("pickup_datetime", *others).limit(rows)
 
 
+def _for_table(df: DataFrame, table: str) -> DataFrame:
+    """Columns in the order of the table, rows brought together by its partition columns."""
+    columns = df.sparkSession.catalog.listColumns(table)
+    by = [column.name for column in columns if column.isPartition]
+    rows = df.select(*[column.name for column in columns])
+    return rows.hint("rebalance", *by) if by else rows
+
+
 def append_table(df: DataFrame, table: str) -> None:
     """Add rows to an existing table, matching columns by name."""
-    df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+    _for_table(df, table).write.insertInto(table)
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
     """Replace a table, or of a partitioned table just the partitions present in the new rows."""
-    df.select(*df.sparkSession.table(table).columns).write.option("partitionOverwriteMode", "dynamic").insertInto(
-        table, overwrite=True
-    )
+    writer = _for_table(df, table).write.option("partitionOverwriteMode", "dynamic")
+    writer.insertInto(table, overwrite=True)
 
 
 def json_sink(df: DataFrame, path: str) -> None:
@@ -112,20 +119,32 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 50_000, **
 # --- catalogue and session --------------------------------------------------
 
 
-def create_tables(spark: SparkSession, location: str, names: Iterable[str] | None = None, replace: bool = True) -> None:
-    """(Re)create the warehouse tables as external Parquet tables below ``location``."""
-    for name in names or schemas.WAREHOUSE:
-        columns, partitions = schemas.WAREHOUSE[name]
+def create_database(spark: SparkSession, name: str, location: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
+
+
+def create_tables(spark: SparkSession, database: str, location: str, replace: bool = True) -> list[str]:
+    """(Re)create the warehouse tables of a database as Parquet tables below a location; returns their names."""
+    names = []
+    for table, (columns, partitions) in schemas.WAREHOUSE.items():
+        name = f"{database}.{table}"
         if replace:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET {by} LOCATION '{location}/{name}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET {by} LOCATION '{location}/{table}'")
+        names.append(name)
+    return names
 
 
-def create_ride_tables(spark: SparkSession, location: str, prefix: str = "ride_") -> None:
-    for name, columns in schemas.RIDE_TABLES.items():
-        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
-        spark.sql(f"CREATE TABLE {prefix}{name} ({columns}) USING PARQUET LOCATION '{location}/{prefix}{name}'")
+def create_ride_tables(spark: SparkSession, database: str, location: str) -> list[str]:
+    """(Re)create the tables of the ride service, which share some names with the warehouse: keep them apart."""
+    names = []
+    for table, columns in schemas.RIDE_TABLES.items():
+        name = f"{database}.{table}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING PARQUET LOCATION '{location}/{table}'")
+        names.append(name)
+    return names
 
 
 def create_views(**frames: DataFrame) -> None:
@@ -134,11 +153,6 @@ def create_views(**frames: DataFrame) -> None:
         df.createOrReplaceTempView(name)
 
 
-def use_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
-    spark.catalog.setCurrentDatabase(name)
-
-
 def refresh_statistics(spark: SparkSession, table: str) -> None:
     """Row count and size for the optimizer; the caller decides when a scan for it is worth it."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")

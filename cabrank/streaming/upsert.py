@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from cabrank.operators import aggregates as a
 from cabrank.operators.clean import since_moment
 from cabrank.plans.ride_demand import active_monitor
-from cabrank.plans.trip_views import trip_summary_daily
 
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
@@ -29,36 +29,72 @@ def append_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 # --- daily summary ----------------------------------------------------------
 
+MEASURES = ("total_amount", "trip_distance", "fare_amount", "tip_amount", "trip_duration_minutes")
+
+
+def daily_partials(trips: DataFrame) -> DataFrame:
+    """Counts and sums per day, type, payment and pair of zones: all a day's summary needs, in mergeable form."""
+    cell = trips.groupBy("pickup_date", "trip_type", "payment_type", "pickup_location_id", "dropoff_location_id")
+    return cell.agg(a.rows("_n"), *a.partial_sums(*MEASURES))
+
+
+def daily_from_partials(partials: DataFrame) -> DataFrame:
+    """The columns of ``trip_summary_daily``, put together from partial results of any number of batches."""
+
+    def trips_where(condition, name):
+        return F.sum(F.when(condition, F.col("_n")).otherwise(0)).alias(name)
+
+    return partials.groupBy(F.col("pickup_date").alias("summary_date")).agg(
+        a.total("_n", "total_trips"),
+        a.total("_sum_total_amount", "total_revenue"),
+        a.merged_mean("trip_distance", "avg_trip_distance"),
+        a.merged_mean("fare_amount", "avg_fare_amount"),
+        a.merged_mean("tip_amount", "avg_tip_amount"),
+        a.merged_mean("trip_duration_minutes", "avg_trip_duration"),
+        a.distinct("pickup_location_id", "unique_pickup_zones"),
+        a.distinct("dropoff_location_id", "unique_dropoff_zones"),
+        trips_where(F.col("trip_type") == "yellow", "yellow_trips"),
+        trips_where(F.col("trip_type") == "green", "green_trips"),
+        trips_where(F.col("payment_type") == 2, "cash_trips"),
+        trips_where(F.col("payment_type") == 1, "card_trips"),
+    )
+
 
 def stream_daily_upsert(trips: DataFrame, path: str, checkpoint: str) -> None:
-    """Store arriving valid trips and refresh the daily summary of the days they belong to."""
+    """Refresh the daily summary of the months that arriving valid trips belong to.
+
+    Every trip is read once, in its batch; what is kept of it are partial
+    results. The summary of a touched month is rebuilt from the partial results
+    of all batches, and only the partitions of these months are replaced.
+    """
+    month = F.date_format("pickup_date", "yyyy-MM")
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        (
-            batch.withColumn("ingest_batch", F.lit(batch_id))
-            .hint("rebalance", "pickup_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ingest_batch", "pickup_date")
-            .parquet(f"{path}/trips")
-        )
-        stored = spark.read.parquet(f"{path}/trips")
-        # One row per calendar day; the join prunes the other days' partitions.
-        touched = stored.filter(F.col("ingest_batch") == batch_id).select("pickup_date").distinct()
-        summary = trip_summary_daily(stored.join(F.broadcast(touched), "pickup_date", "left_semi"))
-        (
-            summary.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("summary_date")
-            .parquet(f"{path}/daily")
-        )
+        partials = daily_partials(batch).withColumns({"month": month, "batch": F.lit(batch_id)})
+        _replace_partitions(partials, f"{path}/partials", "month", "batch")
+        stored = spark.read.parquet(f"{path}/partials")
+        # One row per calendar month; joining it prunes the partitions of all other months.
+        touched = stored.filter(F.col("batch") == batch_id).select("month").distinct()
+        summary = daily_from_partials(stored.join(F.broadcast(touched), "month", "left_semi"))
+        stamped = summary.withColumn("month", F.date_format("summary_date", "yyyy-MM"))
+        _replace_partitions(stamped, f"{path}/daily", "month")
 
     run_available(trips.writeStream.foreachBatch(refresh), checkpoint)
 
 
+def _replace_partitions(df: DataFrame, path: str, *by: str) -> None:
+    (
+        df.hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/daily")
+    return spark.read.parquet(f"{path}/daily").drop("month")
 
 
 # --- active rides -----------------------------------------------------------
