@@ -38,8 +38,7 @@ def grouped(
     if method == "auto":
         method = "builtin" if fits(df, SINGLE_TASK_LIMIT) else "ranges"
     if method == "builtin":
-        exact = [F.percentile(column, p).alias(name) for name, (column, p) in percentiles.items()]
-        return df.groupBy(*keys).agg(*aggregates, *exact)
+        return _builtin(df, keys, aggregates, percentiles)
     if method != "ranges":
         raise ValueError(f"unknown method: {method}")
     values = order_statistics(df, keys, percentiles)
@@ -55,6 +54,28 @@ def grouped(
     return joined.select(*plain.columns, *percentiles)
 
 
+def _by_column(percentiles: Specs) -> dict[str, list[tuple[str, float]]]:
+    wanted: dict[str, list[tuple[str, float]]] = {}
+    for name, (column, p) in percentiles.items():
+        wanted.setdefault(column, []).append((name, p))
+    return wanted
+
+
+def _builtin(df: DataFrame, keys: list[str], aggregates: list[Column], percentiles: Specs) -> DataFrame:
+    """One map of values per column, from which all its fractions are read."""
+    wanted = _by_column(percentiles)
+    arrays = [
+        F.percentile(column, F.array(*[F.lit(float(p)) for _, p in names])).alias(f"_p_{column}")
+        for column, names in wanted.items()
+    ]
+    grouped = df.groupBy(*keys).agg(*aggregates, *arrays)
+    plain = [n for n in grouped.columns if not n.startswith("_p_")]
+    places = {name: (column, i) for column, names in wanted.items() for i, (name, _) in enumerate(names)}
+    return grouped.select(
+        *plain, *[F.col(f"_p_{places[n][0]}")[places[n][1]].alias(n) for n in percentiles]
+    )
+
+
 def _range_of(value: Column, cuts: Column, marks: Column) -> Column:
     """Number of sorted cuts below a value: first among the marks (every 32nd cut), then inside that stretch."""
     coarse = F.size(F.filter(marks, lambda cut: cut < value))

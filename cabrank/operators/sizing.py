@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_LIMIT = 32 * 1024 * 1024
 SINGLE_TASK_LIMIT = 2 * 1024**3
 TASK_BYTES = 256 * 1024 * 1024
+ROW_GROUP_BYTES = 128 * 1024 * 1024
 
 
 def scanned_bytes(df: DataFrame) -> int | None:
@@ -36,3 +37,13 @@ def output_tasks(df: DataFrame) -> int:
     """Tasks for an explicit shuffle of all rows: the session's setting, or more when the input calls for it."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(configured, (scanned_bytes(df) or 0) // TASK_BYTES)
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle an input that is no larger than one row group, so that all cores share the work.
+
+    A row group is read by a single task, whatever the number of splits.
+    Moving so few bytes is cheap; larger inputs consist of enough row groups
+    and are left as they are.
+    """
+    return df.repartition(*keys) if fits(df, ROW_GROUP_BYTES) else df

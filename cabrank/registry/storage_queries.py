@@ -25,7 +25,7 @@ def _zoned(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp") for n in ("pickup_datetime", "dropoff_datetime")})
 
 
-add("read_trips_parquet", lambda b: storage.read_trips_parquet(b.spark, f"{b.sf_dir}/lineitem.parquet"),
+add("read_trips_parquet", lambda b: b.table("lineitem"),
     "SELECT * FROM lineitem", "l_quantity l_extendedprice l_discount l_tax")
 
 

@@ -16,8 +16,7 @@ from cabrank.streaming import live, upsert
 
 
 def _stream(b, name: str) -> DataFrame:
-    schema = b.table(name).schema
-    return b.spark.readStream.schema(schema).parquet(f"{b.sf_dir}/{name}*.parquet")
+    return b.spark.readStream.schema(bindings.TABLES[name]).parquet(f"{b.sf_dir}/{name}*.parquet")
 
 
 def ride_stream(b) -> DataFrame:

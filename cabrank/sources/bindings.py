@@ -13,6 +13,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cabrank.operators import clean, joins
+from cabrank.operators.sizing import spread_small
+from cabrank.sources.storage import read_trips_parquet
 
 ZONES = """
 SELECT n_nationkey AS location_id, r_name AS borough,
@@ -97,6 +99,23 @@ VIEWS = {
     "weather": (WEATHER, ("events",)),
 }
 
+# Schemas of the source tables; with them no footer has to be read to plan a query.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+# The table that gives a view its rows, with a key to spread it by.
+FACT_KEYS = {("trips_raw", "lineitem"): "l_orderkey", ("rides", "orders"): "o_orderkey", ("weather", "events"): "event_id"}
+
 # Rides and weather are read as of this moment instead of the clock.
 RIDES_AS_OF = "2024-01-31 00:00:00"
 
@@ -116,10 +135,15 @@ class Bound:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_trips_parquet(self.spark, f"{self.sf_dir}/{name}.parquet", schema=TABLES[name])
+
+    def _source(self, name: str, of_view: str) -> DataFrame:
+        """A source table of a view; the table whose rows the view lists is spread when it is small."""
+        key = FACT_KEYS.get((of_view, name))
+        return spread_small(self.table(name), key) if key else self.table(name)
 
     def _view(self, name: str) -> DataFrame:
-        return view(self.spark, name, {s: self.table(s) for s in VIEWS[name][1]})
+        return view(self.spark, name, {s: self._source(s, name) for s in VIEWS[name][1]})
 
     @cached_property
     def zones(self) -> DataFrame:
