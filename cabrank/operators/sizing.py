@@ -8,6 +8,7 @@ BROADCAST_LIMIT = 32 * 1024 * 1024
 SINGLE_TASK_LIMIT = 2 * 1024**3
 TASK_BYTES = 256 * 1024 * 1024
 ROW_GROUP_BYTES = 128 * 1024 * 1024
+UNKNOWN = 2**63 - 1
 
 
 def scanned_bytes(df: DataFrame) -> int | None:
@@ -18,9 +19,11 @@ def scanned_bytes(df: DataFrame) -> int | None:
     """
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     except AttributeError:  # a remote session has no local plan
         return None
+    # Spark reports the largest long for an input whose size it cannot tell.
+    return None if any(size >= UNKNOWN for size in sizes) else sum(sizes)
 
 
 def fits(df: DataFrame, limit: int) -> bool:

@@ -120,12 +120,13 @@ FROM trips_all GROUP BY 1, 2, 3
 
 
 def overwritten(b) -> DataFrame:
-    """A year is loaded, then all years replace what they have in common."""
+    """All years are loaded, the early ones with wrong counts; then only the early years are replaced."""
     table = f"{new_warehouse(b)}.monthly_statistics"
     summary = trip_views.stamped(trip_views.monthly_statistics(b.trips))
-    first = summary.filter(F.col("pickup_year") <= 1998).withColumn("total_trips", F.lit(0).cast("bigint"))
-    storage.overwrite_table(first, table)
-    storage.overwrite_table(summary, table)
+    early = F.col("pickup_year") <= 1998
+    wrong = F.when(early, F.lit(0)).otherwise(F.col("total_trips")).cast("bigint")
+    storage.overwrite_table(summary.withColumn("total_trips", wrong), table)
+    storage.overwrite_table(summary.filter(early), table)
     return b.spark.table(table).drop("updated_at")
 
 

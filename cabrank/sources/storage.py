@@ -102,9 +102,19 @@ def append_table(df: DataFrame, table: str) -> None:
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
-    """Replace a table, or of a partitioned table just the partitions present in the new rows."""
-    writer = _for_table(df, table).write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=True)
+    """Replace a table, or of a partitioned table just the partitions present in the new rows.
+
+    An insert takes the overwrite mode from the session, not from its options,
+    so the session's own mode is put back afterwards.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        _for_table(df, table).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def json_sink(df: DataFrame, path: str) -> None:

@@ -67,4 +67,5 @@ def test_spread_only_touches_small_inputs(bound):
     assert "Exchange" in plan_of(sizing.spread_small(orders, "o_orderkey"))
     unknown = bound.spark.createDataFrame([(1,)], "o_orderkey int")
     assert "Exchange" not in plan_of(sizing.spread_small(unknown, "o_orderkey"))
-    assert sizing.output_tasks(orders) == 4
+    assert sizing.output_tasks(orders) == sizing.output_tasks(unknown) == 4
+    assert sizing.scanned_bytes(unknown) is None
