@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cabrank.functions import columns as c
 from cabrank.operators.sizing import lookup
 
+# Columns whose values come from a fixed code list.
+CODE_COLUMNS = {"trip_type", "payment_type", "rate_code_id", "vendor_id", "store_and_fwd_flag"}
+
 
 def _zone_side(zones: DataFrame, side: str, with_service: bool = True) -> DataFrame:
     names = {"borough": f"{side}_borough", "zone": f"{side}_zone", "service_zone": f"{side}_service_zone"}
@@ -68,8 +71,12 @@ def cross_join_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def stats_join_by_key(df: DataFrame, stats: DataFrame, key: str = "trip_type") -> DataFrame:
-    """Attach per-key statistics. The key is a code list, so the statistics are a handful of rows."""
-    return df.join(F.broadcast(stats), key)
+    """Attach per-key statistics.
+
+    Statistics per code have one row for each entry of a fixed code list and
+    are broadcast. Any other key is joined as Spark sees fit.
+    """
+    return df.join(F.broadcast(stats) if key in CODE_COLUMNS else stats, key)
 
 
 def anti_semi_check(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:

@@ -87,30 +87,41 @@ def predict_fares(trips: DataFrame, features=FARE_FEATURES, target: str = "fare_
     return fare_model(trips, features, target).transform(trips).drop("features")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 30, label: str | None = None) -> DataFrame:
-    """Equal-width bins between the smallest and the largest value; the last bin includes its upper end.
+def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:
+    """Equal-width bins between the smallest and the largest value of each measure (name -> number of bins).
 
-    When all values are equal the range is widened by one half on both sides.
+    The last bin includes its upper end. When all values of a measure are equal
+    its range is widened by one half on both sides. All measures are counted in
+    one pass over the rows, after one pass for their ranges.
     """
-    present = df.filter(F.col(column).isNotNull())
-    edge = present.agg(F.min(column).cast("double").alias("_lo"), F.max(column).cast("double").alias("_hi"))
-    flat = F.col("_lo") == F.col("_hi")
-    edge = edge.select(
-        F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
+
+    def edge(name: str, side, shift: float):
+        plain = side(name).cast("double")
+        return F.when(F.min(name) == F.max(name), plain + shift).otherwise(plain)
+
+    edges = df.agg(
+        *[edge(name, F.min, -0.5).alias(f"_lo_{name}") for name in bins],
+        *[edge(name, F.max, 0.5).alias(f"_hi_{name}") for name in bins],
     )
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    place = F.floor((F.col(column) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(bins)))
-    counted = (
-        present.crossJoin(F.broadcast(edge))
-        .withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
-        .groupBy("bin", "_lo", "_hi")
-        .agg(a.rows("row_count"))
+    measures = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("measure"), F.col(name).cast("double").alias("value"), F.lit(float(n)).alias("bins"),
+                F.col(f"_lo_{name}").alias("lo"), F.col(f"_hi_{name}").alias("hi"),
+            )
+            for name, n in bins.items()
+        ]
     )
+    values = df.select(*bins).crossJoin(F.broadcast(edges)).select(F.inline(measures)).filter("value IS NOT NULL")
+    place = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("bins"))
+    counted = values.groupBy(
+        "measure", F.least(place, F.col("bins") - 1).cast("int").alias("bin"), "lo", "hi", "bins"
+    ).agg(a.rows("row_count"))
+    width = (F.col("hi") - F.col("lo")) / F.col("bins")
     return counted.select(
-        F.lit(label or column).alias("measure"),
+        "measure",
         "bin",
-        (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
-        (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"),
+        (F.col("lo") + F.col("bin") * width).alias("bin_start"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_end"),
         "row_count",
     )

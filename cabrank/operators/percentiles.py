@@ -14,7 +14,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cabrank.operators.sizing import SINGLE_TASK_LIMIT, fits
+from cabrank.operators import sizing
 
 Specs = dict[str, tuple[str, float]]
 
@@ -36,7 +36,7 @@ def grouped(
     known to fit a single task.
     """
     if method == "auto":
-        method = "builtin" if fits(df, SINGLE_TASK_LIMIT) else "ranges"
+        method = "builtin" if sizing.fits_one_task(df) else "ranges"
     if method == "builtin":
         return _builtin(df, keys, aggregates, percentiles)
     if method != "ranges":

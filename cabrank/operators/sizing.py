@@ -26,14 +26,18 @@ def scanned_bytes(df: DataFrame) -> int | None:
     return None if any(size >= UNKNOWN for size in sizes) else sum(sizes)
 
 
+def fits_one_task(df: DataFrame) -> bool:
+    return fits(df, SINGLE_TASK_LIMIT)
+
+
 def fits(df: DataFrame, limit: int) -> bool:
     size = scanned_bytes(df)
     return size is not None and size <= limit
 
 
-def lookup(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def lookup(df: DataFrame, limit: int | None = None) -> DataFrame:
     """A lookup table marked for broadcast when it is small; beyond the limit a shuffled join is left to Spark."""
-    return F.broadcast(df) if fits(df, limit) else df
+    return F.broadcast(df) if fits(df, BROADCAST_LIMIT if limit is None else limit) else df
 
 
 def output_tasks(df: DataFrame) -> int:

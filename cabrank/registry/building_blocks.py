@@ -510,11 +510,6 @@ HISTOGRAMS = {
 }
 
 
-def histograms(b) -> DataFrame:
-    drivers = metrics(b)
-    return setops.union_common(*[ml.histogram(drivers, name, bins) for name, bins in HISTOGRAMS.items()])
-
-
 def histogram_sql(name: str, bins: int) -> str:
     return f"""SELECT '{name}' AS measure, bin, any_value(lo) + bin * (any_value(hi) - any_value(lo)) / {bins} AS bin_start,
   any_value(lo) + (bin + 1) * (any_value(hi) - any_value(lo)) / {bins} AS bin_end, count(*) AS row_count
@@ -523,7 +518,7 @@ FROM (SELECT CAST(least(floor(({name} - lo) / (hi - lo) * {bins}), {bins - 1}) A
     FROM (SELECT min({name})::DOUBLE AS a, max({name})::DOUBLE AS b FROM m))) GROUP BY bin"""
 
 
-add("histogram", histograms, """
+add("histogram", lambda b: ml.histogram(metrics(b), HISTOGRAMS), """
 WITH m AS (
   SELECT driver_id, count(*) AS total_trips, sum(total_fare) AS total_revenue, avg(customer_rating) AS avg_customer_rating,
     avg(tips) AS avg_tips, avg(route_efficiency) AS avg_route_efficiency,

@@ -227,7 +227,7 @@ SELECT * EXCLUDE (last_ride), {idle_days('last_ride')} AS days_since_last_trip,
 FROM x
 """, "rating avg_fare_last_30_days avg_customer_rating")
 
-# The fixture's rides reach beyond the reference time of one month later, so the levels are read five weeks later.
+# All drivers of the test data ride until the end of January; five weeks later some are at risk.
 LATER = "2024-03-06 00:00:00"
 LEVELS = f"""{METRICS}, idle AS (
   SELECT *, CAST(floor((epoch(TIMESTAMP '{LATER}') - epoch(last_trip_date)) / 86400) AS INT) AS days_since_last_trip

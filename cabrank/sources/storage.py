@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window, functions as F
 
 from cabrank.operators.ordering import sort_for_layout
 from cabrank.sources import schemas
@@ -83,9 +83,29 @@ def write_combined_sample(df: DataFrame, path: str, sample_path: str, rows: int
 
 
 def first_rows(df: DataFrame, rows: int = 10_000) -> DataFrame:
-    """The first rows by pickup time; equal times are ordered by the other columns."""
+    """The first rows by pickup time; equal times are ordered by the other columns.
+
+    A sort with a limit sends that many rows of every task to a single one.
+    Counting rows per day, and then per minute of the decisive day, gives a time
+    behind which no wanted row lies; only the few rows before it are sorted.
+    """
+    time = F.col("pickup_datetime")
+    day = _holding_row(df.groupBy(F.to_date(time).alias("_t")), rows)
+    early = df.filter(day.isNull() | (F.to_date(time) <= day) | time.isNull())
+    minute = _holding_row(early.groupBy(F.date_trunc("minute", time).alias("_t")), rows)
+    few = early.filter(minute.isNull() | (F.date_trunc("minute", time) <= minute) | time.isNull())
     others = [n for n in df.columns if n != "pickup_datetime"]
-    return df.orderBy("pickup_datetime", *others).limit(rows)
+    return few.orderBy("pickup_datetime", *others).limit(rows)
+
+
+def _holding_row(periods: GroupedData, n: int) -> Column:
+    """First period in which the n-th row lies (null when there are fewer rows), as a scalar subquery.
+
+    The window has one row per period.
+    """
+    counts = periods.agg(F.count(F.lit(1)).alias("_n"))
+    running = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_t")))
+    return running.filter(F.col("_upto") >= n).agg(F.min("_t")).scalar()
 
 
 def _for_table(df: DataFrame, table: str) -> DataFrame:

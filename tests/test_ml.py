@@ -66,13 +66,13 @@ def test_trend_line(spark):
 def test_histogram_equals_numpy(spark):
     values = [float(v) for v in np.random.default_rng(3).normal(size=500)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
-    ours = {r["bin"]: r["row_count"] for r in rows_of(ml.histogram(df, "x", 20))}
+    ours = {r["bin"]: r["row_count"] for r in rows_of(ml.histogram(df, {"x": 20}))}
     counts, _ = np.histogram(values, bins=20)
     assert ours == {i: int(n) for i, n in enumerate(counts) if n}
 
 
 def test_histogram_of_equal_values(spark):
     df = spark.createDataFrame([(4.0,)] * 3, "x double")
-    assert rows_of(ml.histogram(df, "x", 10)) == [
+    assert rows_of(ml.histogram(df, {"x": 10})) == [
         {"measure": "x", "bin": 5, "bin_start": pytest.approx(4.0), "bin_end": pytest.approx(4.1), "row_count": 3}
     ]

@@ -69,7 +69,7 @@ def test_method_follows_the_size_of_the_input(spark, bound, monkeypatch):
     monkeypatch.setattr(p, "order_statistics", lambda *args: calls.append(args) or p._builtin(args[0], args[1], [], args[2]))
     p.grouped(bound.trips, ["trip_type"], [], {"m": ("fare_amount", 0.5)})
     assert not calls
-    monkeypatch.setattr(p, "SINGLE_TASK_LIMIT", 10)
+    monkeypatch.setattr(sizing, "SINGLE_TASK_LIMIT", 10)
     p.grouped(bound.trips, ["trip_type"], [], {"m": ("fare_amount", 0.5)})
     assert len(calls) == 1
 
