@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cabrank.operators import aggregates as a
 from cabrank.operators.joins import anti_semi_check
+from cabrank.operators.sizing import lookup
 from cabrank.sources import schemas
 
 
@@ -67,16 +68,19 @@ def zone_reference_check(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Number of trips whose pickup or dropoff location is unknown to the lookup.
 
     Trips are first counted per pair of locations, so the lookups are joined to
-    one row per pair and not to every trip.
+    one row per pair and not to every trip, and both ends are checked in one pass.
     """
-    pairs = trips.groupBy("pickup_location_id", "dropoff_location_id").agg(a.rows("_trips"))
+    ends = ("pickup", "dropoff")
+    pairs = trips.groupBy(*[f"{end}_location_id" for end in ends]).agg(a.rows("_trips"))
+    for end in ends:
+        known = zones.select(F.col("location_id").alias(f"_{end}")).distinct()
+        pairs = pairs.join(lookup(known), F.col(f"{end}_location_id") == F.col(f"_{end}"), "left")
 
-    def unknown(side: str) -> DataFrame:
-        lost = anti_semi_check(pairs, f"{side}_location_id", zones, "location_id")
-        return lost.agg(F.coalesce(F.sum("_trips"), F.lit(0)).alias(f"invalid_{side}_zones"))
+    def unknown(end: str) -> Column:
+        lost = F.col(f"{end}_location_id").isNotNull() & F.col(f"_{end}").isNull()
+        return F.coalesce(F.sum(F.when(lost, F.col("_trips"))), F.lit(0)).alias(f"invalid_{end}_zones")
 
-    checked = unknown("pickup").crossJoin(F.broadcast(unknown("dropoff")))
-    return checked.select(F.lit("Zone Reference Validation").alias("metric"), "*")
+    return pairs.agg(*[unknown(end) for end in ends]).select(F.lit("Zone Reference Validation").alias("metric"), "*")
 
 
 def constraint_checks(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cabrank.functions import codes, columns as c
 from cabrank.operators import aggregates as a, ordering, windows
 from cabrank.operators.clean import completed_rides, since, since_moment
-from cabrank.operators.joins import cross_join_scalar, hour_bucket
+from cabrank.operators.joins import hour_bucket
 from cabrank.operators.sizing import lookup
 
 
@@ -125,26 +125,23 @@ def weather_impact(rides: DataFrame, weather: DataFrame) -> DataFrame:
     """Rides, fare, surge, wait and spread of the fare by weather condition.
 
     The spread is put together from the variance inside each cell and the
-    distance of the cell's mean from the overall mean, so no ride is repeated.
+    square of the cell's mean, so no ride is repeated and one pass is enough.
     """
     pairs = _weather_pairs(completed_rides(rides), weather, "weather_condition")
     reports = F.col("_reports")
-    overall = pairs.agg(a.merged_mean("total_fare", "_overall", reports))
     count = F.col("_cnt_total_fare") * reports
-    gap = c.ratio("_sum_total_fare", "_cnt_total_fare") - F.col("_overall")
-    sums = cross_join_scalar(pairs, overall).groupBy("weather_condition").agg(
+    cell_mean = c.ratio("_sum_total_fare", "_cnt_total_fare")
+    sums = pairs.groupBy("weather_condition").agg(
         F.sum(F.col("_rides") * reports).alias("total_trips"),
         a.merged_mean("total_fare", "avg_fare", reports),
         a.merged_mean("surge_multiplier", "avg_surge", reports),
         a.merged_mean("wait_time", "avg_wait_time", reports),
         F.sum(count).alias("_n"),
-        F.sum(count * (F.col("_var") + gap * gap)).alias("_squares"),
-        F.max("_overall").alias("_overall"),
+        F.sum(count * (F.col("_var") + cell_mean * cell_mean)).alias("_squares"),
     )
-    shift = F.col("avg_fare") - F.col("_overall")
-    variance = c.ratio(F.col("_squares") - F.col("_n") * shift * shift, F.col("_n") - 1)
-    spread = F.when(F.col("_n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0))))
-    return sums.withColumn("fare_stddev", spread).drop("_n", "_squares", "_overall")
+    squares = F.col("_squares") - F.col("_n") * F.col("avg_fare") * F.col("avg_fare")
+    variance = c.ratio(F.greatest(squares, F.lit(0.0)), F.col("_n") - 1)
+    return sums.withColumn("fare_stddev", F.sqrt(variance)).drop("_n", "_squares")
 
 
 def weather_surge_contrast(impact: DataFrame, bad=codes.BAD_WEATHER) -> DataFrame:
