@@ -38,10 +38,16 @@ def inner_equi(trips: DataFrame, zones: DataFrame, both: bool = True) -> DataFra
 
 
 def left_outer(left: DataFrame, right: DataFrame, key: str, condition: Column | None = None) -> DataFrame:
-    """All left rows; an extra condition limits the matches, not the result."""
+    """All left rows; an extra condition limits the matches, not the result.
+
+    Adaptive execution splits a crowded key of an inner join on either side, but not the right
+    side of an outer join, so the left rows without a match are found and added on their own.
+    """
     if condition is not None:
         right = right.filter(condition)
-    return left.join(right, key, "left")
+    matched = left.join(right, key, "inner")
+    alone = left.join(right.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def left_then_filter(left: DataFrame, right: DataFrame, key: str, condition: Column) -> DataFrame:
@@ -53,6 +59,28 @@ def hour_bucket(ts: Column | str) -> Column:
     return F.date_trunc("hour", c.col(ts)).cast("timestamp")
 
 
+def time_bucket_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_time: str,
+    right_time: str,
+    how: str = "inner",
+    bucket: str = "hour",
+) -> DataFrame:
+    """Rows that agree in the keys and fall into the same bucket of time, as one equi-join; the keys appear once.
+
+    ``how`` is inner or left. A crowded key and bucket is split by adaptive execution; where only
+    counts or sums are wanted, reduce both sides to the bucket first.
+    """
+    name = "_bucket"
+
+    def bucketed(df: DataFrame, time: str) -> DataFrame:
+        return df.withColumn(name, F.date_trunc(bucket, time).cast("timestamp"))
+
+    return bucketed(left, left_time).join(bucketed(right, right_time), [*keys, name], how).drop(name)
+
+
 def trips_at_locations(trips: DataFrame, places: DataFrame, key: str = "location_id") -> DataFrame:
     """Trips that start or end at one of the given places, once per place.
 
@@ -66,8 +94,11 @@ def trips_at_locations(trips: DataFrame, places: DataFrame, key: str = "location
 
 
 def cross_join_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a single row of statistics (the result of an aggregate without keys) to every row."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach a single row of statistics (the result of an aggregate without keys) to every row.
+
+    Only one row is taken, whatever is given, so the broadcast stays that small.
+    """
+    return df.crossJoin(F.broadcast(one_row.limit(1)))
 
 
 def stats_join_by_key(df: DataFrame, stats: DataFrame, key: str = "trip_type") -> DataFrame:

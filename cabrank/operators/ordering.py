@@ -46,6 +46,10 @@ def sort_for_layout(df: DataFrame, order: str = "pickup_datetime", files: int |
     return df.repartitionByRange(files or output_tasks(df), order, spread).sortWithinPartitions(order)
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """A random sample of at most n rows."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """A random sample of at most n rows: the first by a hash of the key and the seed, so reruns agree.
+
+    Rows that share a key have the same hash; all columns then decide.
+    """
+    drawn = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)).cast("binary"))
+    return df.orderBy(drawn, *df.columns).limit(n)

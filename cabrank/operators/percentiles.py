@@ -1,11 +1,11 @@
 """Exact percentiles (linear interpolation), also for groups larger than a task's memory.
 
-Spark's ``percentile`` keeps all distinct values of a group in one map. That is
-the quickest way while the input is known to be small. Beyond the limit the
-same numbers are found by order statistics: values are counted, cut into value
-ranges of similar load, located by running totals over the ranges, and only the
-ranges that hold a wanted rank are put in order. A group of any size is spread
-over the ranges, so no task sees it whole.
+Spark's ``percentile`` keeps all distinct values of a group in one map, which no
+check of the input can bound. The same numbers are found by order statistics: values
+are counted, cut into value ranges of similar load, located by running totals over
+the ranges, and only the ranges that hold a wanted rank are put in order. A group of
+any size is spread over the ranges, so no task sees it whole, and there are more
+ranges where the session has more shuffle partitions.
 """
 
 from __future__ import annotations
@@ -14,12 +14,17 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cabrank.operators import sizing
-
 Specs = dict[str, tuple[str, float]]
 
-STRIDE = 32
-RANGES = STRIDE * STRIDE
+# Ranges are found in two steps, so their number is a square.
+LEAST_STRIDE = 32
+RANGES_PER_PARTITION = 4
+
+
+def stride(df: DataFrame) -> int:
+    """The root of the number of ranges: one in each task is too few, as only ranges with a wanted rank are ordered."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_STRIDE, math.isqrt(RANGES_PER_PARTITION * partitions))
 
 
 def grouped(
@@ -27,20 +32,11 @@ def grouped(
     keys: list[str],
     aggregates: list[Column],
     percentiles: Specs,
-    method: str = "auto",
 ) -> DataFrame:
     """Group by ``keys`` with ordinary aggregates and exact percentiles.
 
-    ``percentiles`` maps a result name to (column, fraction). ``method`` is
-    'builtin', 'ranges', or 'auto': builtin only when the scanned input is
-    known to fit a single task.
+    ``percentiles`` maps a result name to (column, fraction).
     """
-    if method == "auto":
-        method = "builtin" if sizing.fits_one_task(df) else "ranges"
-    if method == "builtin":
-        return _builtin(df, keys, aggregates, percentiles)
-    if method != "ranges":
-        raise ValueError(f"unknown method: {method}")
     values = order_statistics(df, keys, percentiles)
     if not aggregates:
         return values
@@ -54,33 +50,11 @@ def grouped(
     return joined.select(*plain.columns, *percentiles)
 
 
-def _by_column(percentiles: Specs) -> dict[str, list[tuple[str, float]]]:
-    wanted: dict[str, list[tuple[str, float]]] = {}
-    for name, (column, p) in percentiles.items():
-        wanted.setdefault(column, []).append((name, p))
-    return wanted
-
-
-def _builtin(df: DataFrame, keys: list[str], aggregates: list[Column], percentiles: Specs) -> DataFrame:
-    """One map of values per column, from which all its fractions are read."""
-    wanted = _by_column(percentiles)
-    arrays = [
-        F.percentile(column, F.array(*[F.lit(float(p)) for _, p in names])).alias(f"_p_{column}")
-        for column, names in wanted.items()
-    ]
-    grouped = df.groupBy(*keys).agg(*aggregates, *arrays)
-    plain = [n for n in grouped.columns if not n.startswith("_p_")]
-    places = {name: (column, i) for column, names in wanted.items() for i, (name, _) in enumerate(names)}
-    return grouped.select(
-        *plain, *[F.col(f"_p_{places[n][0]}")[places[n][1]].alias(n) for n in percentiles]
-    )
-
-
-def _range_of(value: Column, cuts: Column, marks: Column) -> Column:
-    """Number of sorted cuts below a value: first among the marks (every 32nd cut), then inside that stretch."""
+def _range_of(value: Column, cuts: Column, marks: Column, step: int) -> Column:
+    """Number of sorted cuts below a value: first among the marks (the last cut of each step), then inside that step."""
     coarse = F.size(F.filter(marks, lambda cut: cut < value))
-    stretch = F.slice(cuts, coarse * STRIDE + 1, F.lit(STRIDE))
-    return coarse * STRIDE + F.size(F.filter(stretch, lambda cut: cut < value))
+    stretch = F.slice(cuts, coarse * step + 1, F.lit(step))
+    return coarse * step + F.size(F.filter(stretch, lambda cut: cut < value))
 
 
 def order_statistics(df: DataFrame, keys: list[str], percentiles: Specs) -> DataFrame:
@@ -93,17 +67,19 @@ def order_statistics(df: DataFrame, keys: list[str], percentiles: Specs) -> Data
 
     # Cuts only balance the load; any cuts give the same result. The filter on
     # the count lets this branch and the next one share one shuffle.
-    fractions = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
-    sketch = F.expr(f"percentile_approx(_v, array({fractions}), {4 * RANGES})")
+    step = stride(df)
+    ranges = step * step
+    fractions = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    sketch = F.expr(f"percentile_approx(_v, array({fractions}), {4 * ranges})")
     cuts = counts.filter("_n > 0").agg(sketch.alias("_cuts"))
-    cuts = cuts.withColumn("_marks", F.filter("_cuts", lambda _, i: i % STRIDE == STRIDE - 1))
+    cuts = cuts.withColumn("_marks", F.filter("_cuts", lambda _, i: i % step == step - 1))
     placed = counts.crossJoin(F.broadcast(cuts)).select(
-        "_g", "_m", "_v", "_n", _range_of(F.col("_v"), F.col("_cuts"), F.col("_marks")).alias("_r")
+        "_g", "_m", "_v", "_n", _range_of(F.col("_v"), F.col("_cuts"), F.col("_marks"), step).alias("_r")
     )
 
-    # At most RANGES rows per group and measure.
+    # At most one row per range for each group and measure.
     in_group = Window.partitionBy("_g", "_m")
-    ranges = (
+    totals = (
         placed.groupBy("_g", "_m", "_r")
         .agg(F.sum("_n").alias("_rn"))
         .select(
@@ -124,7 +100,7 @@ def order_statistics(df: DataFrame, keys: list[str], percentiles: Specs) -> Data
         return (rank >= start) & (rank < start + rows)
 
     hits = (
-        ranges.withColumn("_w", F.explode(wanted))
+        totals.withColumn("_w", F.explode(wanted))
         .filter(F.col("_w.m") == F.col("_m"))
         .withColumn("_at", position)
         .filter(

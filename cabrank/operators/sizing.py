@@ -1,11 +1,10 @@
-"""Size checks that decide how a small side is joined and how a median is found."""
+"""Size checks that decide how a small side is joined; results never depend on them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
-SINGLE_TASK_LIMIT = 2 * 1024**3
 TASK_BYTES = 256 * 1024 * 1024
 ROW_GROUP_BYTES = 128 * 1024 * 1024
 UNKNOWN = 2**63 - 1
@@ -26,10 +25,6 @@ def scanned_bytes(df: DataFrame) -> int | None:
     return None if any(size >= UNKNOWN for size in sizes) else sum(sizes)
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    return fits(df, SINGLE_TASK_LIMIT)
-
-
 def fits_broadcast(*frames: DataFrame) -> bool:
     return all(fits(df, BROADCAST_LIMIT) for df in frames)
 

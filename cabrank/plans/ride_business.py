@@ -59,7 +59,7 @@ def traffic_by_hour(rides: DataFrame) -> DataFrame:
 # --- customers --------------------------------------------------------------
 
 
-def customer_ltv(riders: DataFrame, rides: DataFrame, as_of, method: str = "auto") -> DataFrame:
+def customer_ltv(riders: DataFrame, rides: DataFrame, as_of) -> DataFrame:
     """Customers with completed rides, summed up by customer type."""
     per_customer = completed_rides(rides).groupBy("customer_id").agg(
         F.count("ride_id").alias("_trips"),
@@ -82,7 +82,6 @@ def customer_ltv(riders: DataFrame, rides: DataFrame, as_of, method: str = "auto
             a.mean("_monthly", "avg_monthly_value"),
         ],
         {"median_lifetime_value": ("_value", 0.5)},
-        method,
     )
 
 

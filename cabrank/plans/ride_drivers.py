@@ -172,9 +172,9 @@ def churn_by_level_profile(levels: DataFrame, retained: float = 0.7) -> DataFram
     )
 
 
-def at_risk_performers(levels: DataFrame, min_rating: float = 4.0, method: str = "auto") -> DataFrame:
+def at_risk_performers(levels: DataFrame, min_rating: float = 4.0) -> DataFrame:
     """Well rated drivers at risk whose revenue is above the median of all drivers."""
-    median = percentiles.grouped(levels, [], [], {"_median": ("total_revenue", 0.5)}, method)
+    median = percentiles.grouped(levels, [], [], {"_median": ("total_revenue", 0.5)})
     chosen = cross_join_scalar(levels, median).filter(
         F.col("churn_risk").isin(*AT_RISK)
         & (F.col("avg_customer_rating") > min_rating)

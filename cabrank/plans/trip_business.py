@@ -13,7 +13,7 @@ from cabrank.plans.trip_demand import recent
 # --- payments and fares -----------------------------------------------------
 
 
-def payment_tips(trips: DataFrame, as_of=None, days: int = 30, method: str = "auto") -> DataFrame:
+def payment_tips(trips: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     grouped = percentiles.grouped(
         recent(trips, as_of, days),
         ["payment_type", "trip_type"],
@@ -25,13 +25,12 @@ def payment_tips(trips: DataFrame, as_of=None, days: int = 30, method: str = "au
             a.mean("tip_percentage", "avg_tip_pct"),
         ],
         {"median_tip_pct": ("tip_percentage", 0.5), "p95_tip_pct": ("tip_percentage", 0.95)},
-        method,
     )
     shared = a.share_of_total(grouped, "trip_count", "pct_of_type", ["trip_type"])
     return shared.withColumn("payment_method", c.payment_method()).drop("payment_type")
 
 
-def fare_by_distance_band(trips: DataFrame, as_of=None, days: int = 30, method: str = "auto") -> DataFrame:
+def fare_by_distance_band(trips: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     banded = recent(trips, as_of, days).withColumn("distance_band", c.distance_band())
     grouped = percentiles.grouped(
         banded,
@@ -46,7 +45,6 @@ def fare_by_distance_band(trips: DataFrame, as_of=None, days: int = 30, method:
             a.mean("trip_speed_mph", "avg_speed"),
         ],
         {"median_fare_per_mile": ("fare_per_mile", 0.5)},
-        method,
     )
     return grouped.orderBy("trip_type", ordering.band_order())
 
@@ -62,7 +60,7 @@ def rate_code_analysis(trips: DataFrame, as_of=None, days: int = 30) -> DataFram
     return grouped.withColumn("rate_type", c.rate_type()).drop("rate_code_id")
 
 
-def tip_by_period(trips: DataFrame, method: str = "auto") -> DataFrame:
+def tip_by_period(trips: DataFrame) -> DataFrame:
     """Card tips by part of the day."""
     cards = trips.filter(F.col("payment_type") == 1).withColumn("time_period", c.day_part())
     return percentiles.grouped(
@@ -70,7 +68,6 @@ def tip_by_period(trips: DataFrame, method: str = "auto") -> DataFrame:
         ["time_period", "trip_type"],
         [a.rows(), a.mean("tip_amount", "avg_tip_amount"), a.mean("tip_percentage", "avg_tip_pct")],
         {"median_tip_pct": ("tip_percentage", 0.5), "p95_tip_pct": ("tip_percentage", 0.95)},
-        method,
     )
 
 
@@ -80,13 +77,12 @@ FARE_LEVELS = {
 }
 
 
-def fare_percentiles(trips: DataFrame, method: str = "auto") -> DataFrame:
+def fare_percentiles(trips: DataFrame) -> DataFrame:
     grouped = percentiles.grouped(
         trips,
         ["trip_type"],
         [a.rows("total_trips"), a.mean("fare_amount", "mean_fare"), a.spread("fare_amount", "stddev_fare")],
         {name: ("fare_amount", p) for name, p in FARE_LEVELS.items()},
-        method,
     )
     rounded = {name: c.rounded(name, 2) for name in [*FARE_LEVELS, "mean_fare", "stddev_fare"]}
     return grouped.withColumns(rounded)
@@ -226,7 +222,7 @@ def revenue_by_payment(trips: DataFrame) -> DataFrame:
     )
 
 
-def benchmarks(trips: DataFrame, method: str = "auto") -> DataFrame:
+def benchmarks(trips: DataFrame) -> DataFrame:
     in_rush = F.col("pickup_hour").between(7, 9) | F.col("pickup_hour").between(17, 19)
     medians = {
         "median_speed_mph": ("trip_speed_mph", 0.5),
@@ -242,7 +238,6 @@ def benchmarks(trips: DataFrame, method: str = "auto") -> DataFrame:
             a.distinct("pickup_date", "total_days"),
         ],
         medians,
-        method,
     )
     return row.select(
         F.lit("Performance Benchmarks").alias("category"),

@@ -17,7 +17,7 @@ def recent(trips: DataFrame, as_of, days: int) -> DataFrame:
     return trips if as_of is None else since(trips, as_of, days)
 
 
-def hourly_demand_by_dow(trips: DataFrame, method: str = "auto") -> DataFrame:
+def hourly_demand_by_dow(trips: DataFrame) -> DataFrame:
     grouped = percentiles.grouped(
         trips,
         ["pickup_hour", "pickup_day_of_week", "trip_type"],
@@ -28,7 +28,6 @@ def hourly_demand_by_dow(trips: DataFrame, method: str = "auto") -> DataFrame:
             a.mean("tip_percentage", "avg_tip_pct"),
         ],
         {"median_total": ("total_amount", 0.5)},
-        method,
     )
     return grouped.withColumn("day_name", c.day_name()).drop("pickup_day_of_week")
 

@@ -74,7 +74,7 @@ def airport_categories(tz: DataFrame) -> DataFrame:
 
 
 def speed_by_borough_hour(
-    trips: DataFrame, zones: DataFrame, as_of=None, days: int = 30, min_trips: int = 100, method: str = "auto"
+    trips: DataFrame, zones: DataFrame, as_of=None, days: int = 30, min_trips: int = 100
 ) -> DataFrame:
     moving = recent(trips, as_of, days).filter(F.col("trip_speed_mph").between(1, 60))
     grouped = percentiles.grouped(
@@ -86,7 +86,6 @@ def speed_by_borough_hour(
             "median_speed": ("trip_speed_mph", 0.5),
             "q3_speed": ("trip_speed_mph", 0.75),
         },
-        method,
     )
     return a.having(grouped, min_trips)
 

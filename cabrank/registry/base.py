@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cabrank.sources import bindings
 from cabrank.sources.bindings import Bound
@@ -16,40 +16,43 @@ from cabrank.sources.bindings import Bound
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-# Sums are compared to cents, all other floating-point results to six places:
-# the engines add in different orders, which moves the last bits. Means of
-# amounts often end in a 5 just behind the last place, where those bits would
+# The engines add in different orders, which moves the last bits of sums and
+# means, so computed amounts are compared in steps that follow their magnitude;
+# values beyond the last limit, infinities and NaN are compared as they are.
+# Means often end in a 5 just behind the last place, where those bits would
 # decide; the boundary between two steps is therefore not put at one half but
 # at an irrational fraction, which no mean of a few short decimals comes near.
-SUMS = {
-    "total_revenue", "total_tips", "total_tolls", "base_revenue", "distance_revenue", "time_revenue",
-    "surge_revenue", "total_earnings", "current_revenue", "potential_revenue", "at_risk_revenue",
-    "retained_value", "weekly_revenue", "shift_revenue", "avg_revenue_per_driver", "total_distance",
-    "avg_revenue_per_hour",
-}
-OFFSET = "3.819660112501051e-1"
+STEPS = (("1e4", "1e6"), ("1e9", "1e2"), ("1e14", "1e-3"))
+OFFSET = "-1.180339887498949e-1"
+
+
+def stepped(df: DataFrame, *names: str) -> DataFrame:
+    """The named computed columns brought to the steps of the comparison; all others are left as they are."""
 
+    def of(name: str) -> Column:
+        value, size = F.col(name), F.abs(F.col(name))
+        chain = F
+        for limit, steps in STEPS:
+            rounded = (F.round(value * float(steps) + float(OFFSET)) + 0.0) / float(steps)
+            chain = chain.when(size < float(limit), rounded)
+        return chain.otherwise(value).alias(name)
 
-def steps(name: str) -> str:
-    """Steps per unit to which a column is compared."""
-    return "1e2" if name in SUMS else "1e6"
+    return df.select(*[of(n) if n in names else F.col(n) for n in df.columns])
 
 
-def present(df: DataFrame) -> DataFrame:
-    """Floating-point columns brought to the steps of the comparison."""
-    return df.select(
-        *[
-            (F.floor(F.col(n) * float(steps(n)) + float(OFFSET)) / float(steps(n))).alias(n) if t == "double" else F.col(n)
-            for n, t in df.dtypes
-        ]
+def stepped_sql(name: str) -> str:
+    cases = " ".join(
+        f"WHEN abs({name}) < {limit} THEN (round({name} * {steps} + {OFFSET}) + 0.0e0) / {steps}" for limit, steps in STEPS
     )
+    return f"CASE {cases} ELSE {name} END AS {name}"
 
 
 def add(name: str, run: Callable[[Bound], DataFrame], sql: str | None = None, floats: str = "") -> None:
-    """Register a query; ``floats`` names the floating-point columns of its SQL."""
-    QUERIES[name] = lambda spark, sf_dir: present(run(Bound(spark, sf_dir)))
+    """Register a query; ``floats`` names the columns whose values depend on the order of additions."""
+    computed = floats.split()
+    QUERIES[name] = lambda spark, sf_dir: stepped(run(Bound(spark, sf_dir)), *computed)
     if sql is not None:
-        replaced = ", ".join(f"floor({n} * {steps(n)} + {OFFSET}) / {steps(n)} AS {n}" for n in floats.split())
+        replaced = ", ".join(map(stepped_sql, computed))
         chosen = f"* REPLACE ({replaced})" if replaced else "*"
         ORACLE[name] = f"WITH {COMMON}\nSELECT {chosen} FROM (\n{sql.strip()}\n)"
 
@@ -103,6 +106,7 @@ PARTS = {
 COMMON = ",\n".join(f"{name} AS (\n{text.strip()}\n)" for name, text in PARTS.items())
 
 # --- labels of the SQL side -------------------------------------------------
+# Code lists and report labels, written out again so that the SQL stays independent.
 
 PAYMENT = """CASE payment_type WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No Charge'
   WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided Trip' ELSE 'Other' END"""

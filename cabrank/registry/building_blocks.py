@@ -19,11 +19,10 @@ def standardized(b) -> DataFrame:
     return setops.append_types(*frames)
 
 
-RAW_FLOATS = "trip_distance fare_amount tip_amount tolls_amount total_amount"
 ZERO_AMOUNTS = """CAST(0 AS DOUBLE) AS extra, CAST(0 AS DOUBLE) AS mta_tax, CAST(0 AS DOUBLE) AS improvement_surcharge,
   CAST(0 AS DOUBLE) AS congestion_surcharge, CAST(0 AS DOUBLE) AS airport_fee, CAST(0 AS DOUBLE) AS ehail_fee"""
 
-add("standardize_trips", standardized, f"SELECT *, {ZERO_AMOUNTS} FROM trips_raw", RAW_FLOATS)
+add("standardize_trips", standardized, f"SELECT *, {ZERO_AMOUNTS} FROM trips_raw")
 
 
 def zones_with_gaps(b) -> DataFrame:
@@ -46,7 +45,7 @@ add("fill_defaults", lambda b: clean.fill_defaults(b.trips_raw.withColumns(
 SELECT * REPLACE (coalesce(nullif(payment_type, 3), 1) AS payment_type, 'N' AS store_and_fwd_flag,
   coalesce(passenger_count, 1) AS passenger_count), {ZERO_AMOUNTS}
 FROM trips_raw
-""", RAW_FLOATS)
+""")
 
 add("require_columns", lambda b: clean.require_columns(b.trips_raw).groupBy("trip_type").agg(a.rows()),
     "SELECT trip_type, count(*) AS trip_count FROM trips_raw GROUP BY 1")
@@ -57,13 +56,13 @@ add("drop_null_times", lambda b: clean.drop_null_times(b.trips_raw.withColumn(
     "SELECT trip_key, pickup_datetime, dropoff_datetime FROM trips_raw WHERE dropoff_datetime <> pickup_datetime")
 
 add("validity_flag", lambda b: clean.validity_flag(b.trips_raw).select("trip_key", "total_amount", "is_valid_trip"),
-    "SELECT trip_key, total_amount, is_valid_trip FROM trips_all", "total_amount")
+    "SELECT trip_key, total_amount, is_valid_trip FROM trips_all")
 
 DERIVED = [
     "trip_key", "total_amount", "pickup_hour", "pickup_day_of_week", "pickup_month", "pickup_year", "pickup_date",
     "is_weekend", "trip_duration_minutes", "trip_speed_mph", "fare_per_mile", "tip_percentage",
 ]
-DERIVED_FLOATS = "total_amount trip_duration_minutes trip_speed_mph fare_per_mile tip_percentage"
+DERIVED_FLOATS = "trip_duration_minutes trip_speed_mph fare_per_mile tip_percentage"
 
 add("enrich_trips", lambda b: clean.enrich_trips(b.trips_raw).select(*DERIVED),
     f"SELECT {', '.join(DERIVED)} FROM trips_all", DERIVED_FLOATS)
@@ -79,13 +78,13 @@ add("valid_trips_speed", lambda b: clean.valid_trips_speed(clean.enrich_trips(b.
 add("valid_trips_loader", lambda b: clean.valid_trips_loader(b.trips_raw), f"""
 SELECT * REPLACE (coalesce(passenger_count, 1) AS passenger_count) FROM trips_raw
 WHERE {PLAUSIBLE} AND pickup_location_id > 0 AND dropoff_location_id > 0 AND coalesce(passenger_count, 1) BETWEEN 1 AND 6
-""", RAW_FLOATS)
+""")
 
 add("label_columns", lambda b: clean.label_columns(b.trips_all).select(
     "trip_key", "total_amount", "time_period", "day_name", "payment_method", "distance_band", "rate_type"), f"""
 SELECT trip_key, total_amount, {PART} AS time_period, {DAY} AS day_name, {PAYMENT} AS payment_method,
   {BAND} AS distance_band, {RATE} AS rate_type FROM trips_all
-""", "total_amount")
+""")
 
 # Ids of equal times may come in any order, so each moment is compared by its first and last id.
 add("surrogate_key", lambda b: clean.surrogate_key(b.trips, ["trip_key", "total_amount", "dropoff_datetime"])
@@ -95,12 +94,9 @@ SELECT pickup_datetime, min(n) AS first_id, max(n) AS last_id, count(*) AS ids
 FROM (SELECT pickup_datetime, row_number() OVER (ORDER BY pickup_datetime) AS n FROM trips) GROUP BY 1
 """)
 
-add("active_drivers", lambda b: clean.active_drivers(b.drivers), "SELECT * FROM drivers WHERE status = 'Active'", "rating")
+add("active_drivers", lambda b: clean.active_drivers(b.drivers), "SELECT * FROM drivers WHERE status = 'Active'")
 
-RIDE_FLOATS = (
-    "trip_distance base_fare distance_fare time_fare tips tolls surge_multiplier total_fare route_efficiency"
-)
-add("completed_rides", lambda b: b.completed, "SELECT * FROM completed", RIDE_FLOATS)
+add("completed_rides", lambda b: b.completed, "SELECT * FROM completed")
 
 add("predicates", lambda b: b.tz.filter(
     F.col("payment_type").isin(1, 2) & F.col("pickup_hour").between(7, 19) & ~F.col("is_weekend")
@@ -109,7 +105,7 @@ add("predicates", lambda b: b.tz.filter(
 SELECT trip_key, total_amount, pickup_zone, dropoff_zone FROM tz
 WHERE payment_type IN (1, 2) AND pickup_hour BETWEEN 7 AND 19 AND NOT is_weekend
   AND (pickup_zone LIKE '%Airport%' OR dropoff_zone ILIKE '%nation_1%') AND dropoff_zone IS NOT NULL
-""", "total_amount")
+""")
 
 
 def dated_counts(b) -> DataFrame:
@@ -138,28 +134,43 @@ ZONED = [
     "trip_key", "total_amount", "pickup_borough", "pickup_zone", "pickup_service_zone", "dropoff_borough",
     "dropoff_zone", "dropoff_service_zone",
 ]
-add("trips_with_zones", lambda b: b.tz.select(*ZONED), f"SELECT {', '.join(ZONED)} FROM tz", "total_amount")
+add("trips_with_zones", lambda b: b.tz.select(*ZONED), f"SELECT {', '.join(ZONED)} FROM tz")
 
 add("inner_equi", lambda b: joins.inner_equi(b.trips_all, b.zones.filter("borough <> 'ASIA'")).select(
     "trip_key", "total_amount", "pickup_zone", "dropoff_zone"), """
 SELECT trip_key, total_amount, p.zone AS pickup_zone, d.zone AS dropoff_zone
 FROM trips_all t JOIN zones p ON t.pickup_location_id = p.location_id JOIN zones d ON t.dropoff_location_id = d.location_id
 WHERE p.borough <> 'ASIA' AND d.borough <> 'ASIA'
-""", "total_amount")
+""")
 
 add("left_outer", lambda b: joins.left_outer(
     b.drivers.select("driver_id", "first_name"), b.rides.select("driver_id", "ride_id", "total_fare", "trip_status"),
     "driver_id", F.col("trip_status") == "InProgress"), """
 SELECT d.driver_id, first_name, ride_id, total_fare, trip_status
 FROM drivers d LEFT JOIN rides r ON d.driver_id = r.driver_id AND trip_status = 'InProgress'
-""", "total_fare")
+""")
 
 add("left_then_filter", lambda b: joins.left_then_filter(
     b.drivers.select("driver_id", "first_name"), b.rides.select("driver_id", "ride_id", "total_fare", "trip_status"),
     "driver_id", F.col("trip_status") == "Completed"), """
 SELECT d.driver_id, first_name, ride_id, total_fare, trip_status
 FROM drivers d LEFT JOIN rides r ON d.driver_id = r.driver_id WHERE trip_status = 'Completed'
-""", "total_fare")
+""")
+
+
+def in_the_hour(b, how: str) -> DataFrame:
+    """Rides with every weather report of their zone and hour, row by row."""
+    reports = b.weather.select("weather_id", F.col("zone_id").alias("pickup_zone_id"), "datetime", "temperature")
+    rides = b.rides.select("ride_id", "pickup_zone_id", "pickup_datetime", "total_fare")
+    return joins.time_bucket_join(rides, reports, ["pickup_zone_id"], "pickup_datetime", "datetime", how).drop("datetime")
+
+
+for _how in ("inner", "left"):
+    add(f"time_bucket_join_{_how}", lambda b, how=_how: in_the_hour(b, how), f"""
+SELECT ride_id, pickup_zone_id::BIGINT AS pickup_zone_id, pickup_datetime, total_fare, weather_id, temperature
+FROM rides {_how.upper()} JOIN weather
+  ON pickup_zone_id = zone_id AND date_trunc('hour', pickup_datetime) = date_trunc('hour', datetime)
+""")
 
 
 def matched_by_hour(b) -> DataFrame:
@@ -182,20 +193,20 @@ add("or_theta_join", lambda b: joins.trips_at_locations(b.trips, b.zones.filter(
     "location_id", "zone")).select("trip_key", "total_amount", "zone"), """
 SELECT trip_key, total_amount, zone FROM trips t JOIN (SELECT * FROM zones WHERE zone LIKE '%Airport%') z
   ON t.pickup_location_id = z.location_id OR t.dropoff_location_id = z.location_id
-""", "total_amount")
+""")
 
 add("cross_join_scalar", lambda b: joins.cross_join_scalar(
     b.trips.select("trip_key", "total_amount"), b.trips.agg(a.mean("total_amount", "overall"))).select(
         "trip_key", "total_amount", (F.col("total_amount") - F.col("overall")).alias("difference")), """
 SELECT trip_key, total_amount, total_amount - (SELECT avg(total_amount) FROM trips) AS difference FROM trips
-""", "total_amount difference")
+""", "difference")
 
 add("stats_join_by_key", lambda b: joins.stats_join_by_key(
     b.trips.select("trip_key", "trip_type", "total_amount"),
     b.trips.groupBy("trip_type").agg(a.mean("total_amount", "type_mean"))), """
 SELECT trip_key, t.trip_type, total_amount, type_mean
 FROM trips t JOIN (SELECT trip_type, avg(total_amount) AS type_mean FROM trips GROUP BY 1) s ON t.trip_type = s.trip_type
-""", "total_amount type_mean")
+""", "type_mean")
 
 add("anti_semi_check", lambda b: setops.append_types(
     joins.anti_semi_check(b.rides, "driver_id", clean.active_drivers(b.drivers), "driver_id")
@@ -220,7 +231,7 @@ add("group_agg", lambda b: a.group_agg(
     a.mean("fare_amount", "avg_fare"), F.min("fare_amount").alias("min_fare"), F.max("fare_amount").alias("max_fare")), """
 SELECT pickup_year, trip_type, count(*) AS trip_count, sum(total_amount) AS total_revenue, avg(fare_amount) AS avg_fare,
   min(fare_amount) AS min_fare, max(fare_amount) AS max_fare FROM trips GROUP BY 1, 2
-""", "total_revenue avg_fare min_fare max_fare")
+""", "total_revenue avg_fare")
 
 add("group_by_alias_expr", lambda b: a.group_by_expr(b.trips, "time_period", c.day_part(), ["trip_type"], a.rows()),
     f"SELECT {PART} AS time_period, trip_type, count(*) AS trip_count FROM trips GROUP BY 1, 2")
@@ -258,7 +269,7 @@ FROM trips GROUP BY 1
 add("percentile", lambda b: percentiles.grouped(
     b.trips, ["trip_type"], [], {n: ("trip_speed_mph", p) for n, p in LEVELS.items()}), PERCENTILES, " ".join(LEVELS))
 add("percentile_ranges", lambda b: percentiles.grouped(
-    b.trips, ["trip_type"], [], {n: ("trip_speed_mph", p) for n, p in LEVELS.items()}, "ranges"),
+    b.trips, ["trip_type"], [], {n: ("trip_speed_mph", p) for n, p in LEVELS.items()}),
     PERCENTILES, " ".join(LEVELS))
 
 add("having", lambda b: a.having(b.trips.groupBy("pickup_location_id").agg(a.rows()), 1800),
@@ -321,7 +332,7 @@ add("row_number_rank", lambda b: windows.row_number_rank(
 SELECT *, CAST(row_number() OVER (ORDER BY trip_count DESC, pickup_zone) AS INT) AS volume_rank,
   CAST(row_number() OVER (ORDER BY max_fare DESC, pickup_zone) AS INT) AS fare_rank
 FROM (SELECT pickup_zone, count(*) AS trip_count, max(fare_amount) AS max_fare FROM tz GROUP BY 1)
-""", "max_fare")
+""")
 
 add("moving_average", lambda b: windows.moving_average(
     b.trips.groupBy("pickup_date").agg(a.rows()), "pickup_date", "trip_count", {"ma_7": 7, "ma_14": 14}), """
@@ -358,16 +369,18 @@ FROM trips GROUP BY 1
 
 add("top_k", lambda b: ordering.top_k(
     b.rides.select("ride_id", "total_fare"), 25, F.desc("total_fare"), "ride_id"),
-    "SELECT ride_id, total_fare FROM rides ORDER BY total_fare DESC, ride_id LIMIT 25", "total_fare")
+    "SELECT ride_id, total_fare FROM rides ORDER BY total_fare DESC, ride_id LIMIT 25")
 
 add("scalar_subquery_top1", lambda b: ordering.value_at_max(
     b.trips.groupBy("pickup_hour").agg(a.rows()), "pickup_hour", "trip_count", "peak_hour"),
     "SELECT pickup_hour AS peak_hour FROM trips GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1")
 
 add("sort_for_layout", lambda b: ordering.sort_for_layout(b.trips.select("trip_key", "pickup_datetime", "total_amount")),
-    "SELECT trip_key, pickup_datetime, total_amount FROM trips", "total_amount")
+    "SELECT trip_key, pickup_datetime, total_amount FROM trips")
 
-add("sample_rows", lambda b: ordering.sample_rows(b.trips.select("trip_key", "total_amount"), 1000))
+add("sample_rows", lambda b: ordering.sample_rows(b.trips.select("trip_key", "total_amount"), 1000, "trip_key"), """
+SELECT trip_key, total_amount FROM trips ORDER BY md5(CAST(trip_key AS VARCHAR) || '|42'), trip_key, total_amount LIMIT 1000
+""")
 
 # --- unions -----------------------------------------------------------------
 
@@ -379,16 +392,16 @@ def by_type(b, kind: str, *drop: str) -> DataFrame:
 
 
 add("union_common", lambda b: setops.union_common(by_type(b, "yellow", "tip_amount"), by_type(b, "green", "tolls_amount")),
-    "SELECT trip_key, trip_type, total_amount FROM trips", "total_amount")
+    "SELECT trip_key, trip_type, total_amount FROM trips")
 
 add("union_all_columns",
     lambda b: setops.union_all_columns(by_type(b, "yellow", "tip_amount"), by_type(b, "green", "tolls_amount")), """
 SELECT trip_key, trip_type, total_amount, CASE WHEN trip_type = 'green' THEN tip_amount END AS tip_amount,
   CASE WHEN trip_type = 'yellow' THEN tolls_amount END AS tolls_amount FROM trips
-""", "total_amount tip_amount tolls_amount")
+""")
 
 add("append_types", lambda b: setops.append_types(by_type(b, "yellow"), by_type(b, "green")),
-    "SELECT trip_key, trip_type, total_amount, tip_amount, tolls_amount FROM trips", "total_amount tip_amount tolls_amount")
+    "SELECT trip_key, trip_type, total_amount, tip_amount, tolls_amount FROM trips")
 
 # --- scalar functions -------------------------------------------------------
 
@@ -436,7 +449,7 @@ add("math", lambda b: b.rides.select(
 SELECT ride_id, round((total_fare / nullif(trip_distance, 0))::DECIMAL(30,9), 2)::DOUBLE AS fare_per_mile,
   abs(total_fare - 250) AS gap, least(greatest(trip_distance, 5), 20) AS clipped, trunc(total_fare)::BIGINT AS whole_fare,
   nullif(ride_id % 5, 0) AS remainder FROM rides
-""", "gap clipped")
+""", "gap")
 
 add("null_handling", lambda b: b.trips_raw.select(
     "trip_key", "total_amount", F.coalesce("passenger_count", F.lit(1)).alias("passengers"),
@@ -444,7 +457,7 @@ add("null_handling", lambda b: b.trips_raw.select(
     .dropna(subset=["far_fare"]), """
 SELECT trip_key, total_amount, coalesce(passenger_count, 1) AS passengers, passenger_count IS NULL AS unknown,
   fare_amount AS far_fare FROM trips_raw WHERE trip_distance > 10 AND fare_amount IS NOT NULL
-""", "total_amount far_fare")
+""")
 
 add("string", lambda b: b.drivers.select(
     "driver_id", c.full_name().alias("driver_name"), c.short_label("first_name", 12).alias("short_name"),
@@ -473,7 +486,7 @@ def with_functions(b, df: DataFrame, *expressions: str) -> DataFrame:
 add("calculate_tip_percentage", lambda b: with_functions(
     b, b.trips_raw, "trip_key", "total_amount", "calculate_tip_percentage(tip_amount, fare_amount) AS tip_pct"), """
 SELECT trip_key, total_amount, tip_percentage AS tip_pct FROM trips_all
-""", "total_amount tip_pct")
+""", "tip_pct")
 
 add("calculate_speed", lambda b: with_functions(
     b, b.rides, "ride_id", "calculate_speed(trip_distance, trip_duration) AS speed_mph"), """
@@ -536,7 +549,8 @@ add("null_profile", lambda b: quality.null_profile(b.trips_raw, CHECKED), "\nUNI
 
 add("dataset_overview", lambda b: quality.dataset_overview(b.trips), """
 SELECT count(*) AS total_trips, min(pickup_datetime) AS earliest_trip, max(pickup_datetime) AS latest_trip,
-  count(DISTINCT trip_type) AS trip_types, avg(trip_distance) AS avg_distance, avg(fare_amount) AS avg_fare,
+  count(DISTINCT trip_type) AS trip_types, count(*) FILTER (trip_type = 'yellow') AS yellow_trips,
+  count(*) FILTER (trip_type = 'green') AS green_trips, avg(trip_distance) AS avg_distance, avg(fare_amount) AS avg_fare,
   avg(total_amount) AS avg_total, avg(tip_amount) AS avg_tip, count(DISTINCT pickup_location_id) AS unique_pickup_zones,
   count(DISTINCT dropoff_location_id) AS unique_dropoff_zones FROM trips
 """, "avg_distance avg_fare avg_total avg_tip")

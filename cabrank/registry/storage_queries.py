@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from cabrank.operators import aggregates as a, clean, quality
+from cabrank.operators import aggregates as a, clean, joins, quality
 from cabrank.plans import trip_business, trip_views
 from cabrank.registry.base import add
 from cabrank.registry.trip_reports import MONTHLY, MONTHLY_FLOATS
@@ -17,7 +17,6 @@ CORE = [
     "dropoff_location_id", "trip_distance", "fare_amount", "payment_type",
 ]
 CORE_SQL = ", ".join(CORE)
-CORE_FLOATS = "total_amount trip_distance fare_amount"
 
 
 def _zoned(df: DataFrame) -> DataFrame:
@@ -26,7 +25,7 @@ def _zoned(df: DataFrame) -> DataFrame:
 
 
 add("read_trips_parquet", lambda b: b.table("lineitem"),
-    "SELECT * FROM lineitem", "l_quantity l_extendedprice l_discount l_tax")
+    "SELECT * FROM lineitem")
 
 
 def raw_dialect(trips: DataFrame, kind: str) -> DataFrame:
@@ -36,21 +35,22 @@ def raw_dialect(trips: DataFrame, kind: str) -> DataFrame:
     return of_kind.select("trip_key", *[F.col(name).alias(raw) for raw, name in names.items()])
 
 
-def csv_round_trip(b) -> DataFrame:
+def csv_round_trip(b, kind: str) -> DataFrame:
     path = storage.scratch_path(b.spark, "csv")
-    rows = raw_dialect(b.trips_raw, "yellow")
+    rows = raw_dialect(b.trips_raw, kind)
     rows.write.option("header", True).csv(path)
     kinds = dict(rows.dtypes)
     return storage.read_csv_header(b.spark, path, ", ".join(f"`{n}` {kinds[n]}" for n in rows.columns))
 
 
-add("read_csv_header", csv_round_trip, """
-SELECT trip_key, pickup_datetime AS tpep_pickup_datetime, dropoff_datetime AS tpep_dropoff_datetime,
+for _name, _kind, _prefix in (("read_csv_header", "yellow", "tpep"), ("read_csv_header_green", "green", "lpep")):
+    add(_name, lambda b, kind=_kind: csv_round_trip(b, kind), f"""
+SELECT trip_key, pickup_datetime AS {_prefix}_pickup_datetime, dropoff_datetime AS {_prefix}_dropoff_datetime,
   pickup_location_id AS "PULocationID", dropoff_location_id AS "DOLocationID", passenger_count, trip_distance, fare_amount,
   tip_amount, tolls_amount, total_amount, payment_type, rate_code_id AS "RatecodeID", store_and_fwd_flag,
   vendor_id AS "VendorID"
-FROM trips_raw WHERE trip_type = 'yellow'
-""", "trip_distance fare_amount tip_amount tolls_amount total_amount")
+FROM trips_raw WHERE trip_type = '{_kind}'
+""")
 
 
 def table_or_fallback(b) -> DataFrame:
@@ -61,7 +61,7 @@ def table_or_fallback(b) -> DataFrame:
     return found
 
 
-add("read_table", table_or_fallback, f"SELECT {CORE_SQL} FROM trips", CORE_FLOATS)
+add("read_table", table_or_fallback, f"SELECT {CORE_SQL} FROM trips")
 
 
 def partitioned_round_trip(b) -> DataFrame:
@@ -70,7 +70,7 @@ def partitioned_round_trip(b) -> DataFrame:
     return b.spark.read.parquet(path)
 
 
-add("write_partitioned", partitioned_round_trip, f"SELECT {CORE_SQL} FROM trips", CORE_FLOATS)
+add("write_partitioned", partitioned_round_trip, f"SELECT {CORE_SQL} FROM trips")
 
 
 def combined_sample(b) -> DataFrame:
@@ -85,7 +85,7 @@ def combined_sample(b) -> DataFrame:
 
 add("write_combined_sample", combined_sample, f"""
 SELECT {CORE_SQL}, (SELECT count(*) FROM trips) AS written_rows FROM trips ORDER BY {CORE_SQL} LIMIT 10000
-""", CORE_FLOATS)
+""")
 
 
 def new_warehouse(b) -> str:
@@ -140,8 +140,7 @@ def json_round_trip(b) -> DataFrame:
     return b.spark.read.schema(rows.schema).json(path)
 
 
-add("json_sink", json_round_trip, "SELECT ride_id, driver_id, pickup_datetime, total_fare, trip_status FROM rides",
-    "total_fare")
+add("json_sink", json_round_trip, "SELECT ride_id, driver_id, pickup_datetime, total_fare, trip_status FROM rides")
 
 
 def load_and_verify(b) -> DataFrame:
@@ -208,7 +207,9 @@ def loaded_warehouse(b) -> DataFrame:
     storage.append_table(curated(b), f"{database}.trips")
     storage.append_table(b.zones.withColumn("created_at", F.current_timestamp()), f"{database}.zones")
     trips = clean.valid_trips(b.spark.table(f"{database}.trips"))
+    zoned = joins.trips_with_zones(trips, b.spark.table(f"{database}.zones"))
     storage.overwrite_table(trip_views.stamped(trip_views.trip_summary_daily(trips)), f"{database}.trip_summary_daily")
+    storage.overwrite_table(trip_views.stamped(trip_views.trip_summary_hourly(zoned)), f"{database}.trip_summary_hourly")
     storage.overwrite_table(trip_views.stamped(trip_views.monthly_statistics(trips)), f"{database}.monthly_statistics")
     counts = None
     for table in schemas.WAREHOUSE:
@@ -221,9 +222,6 @@ add("create_tables", loaded_warehouse, """
 SELECT 'trips' AS table_name, (SELECT count(*) FROM trips_all) AS row_count
 UNION ALL SELECT 'zones', (SELECT count(*) FROM zones)
 UNION ALL SELECT 'trip_summary_daily', (SELECT count(DISTINCT pickup_date) FROM trips)
-UNION ALL SELECT 'trip_summary_hourly', 0
+UNION ALL SELECT 'trip_summary_hourly', (SELECT count(*) FROM (SELECT DISTINCT pickup_date, pickup_hour, trip_type, pickup_borough FROM tz))
 UNION ALL SELECT 'monthly_statistics', (SELECT count(*) FROM (SELECT DISTINCT pickup_year, pickup_month, trip_type FROM trips))
 """)
-
-add("recommended_partitions", lambda b: storage.file_sizes(b.spark, b.sf_dir).withColumn(
-    "partitions", storage.recommended_partitions(F.col("file_bytes") / F.lit(float(1024**3)))))

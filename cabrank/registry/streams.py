@@ -42,9 +42,10 @@ def emitted(b, stream: DataFrame) -> DataFrame:
 
 CLOSED = "(SELECT max(pickup_datetime) FROM {}) - INTERVAL 15 MINUTE"
 
-add("stream_zone_demand", lambda b: emitted(b, live.stream_zone_demand(ride_stream(b))).drop("available_drivers"), f"""
+add("stream_zone_demand", lambda b: emitted(b, live.stream_zone_demand(ride_stream(b))), f"""
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, pickup_zone_id, count(*) AS trips_last_hour,
-  count(*) FILTER (pickup_datetime >= window_start + INTERVAL 45 MINUTE) AS trips_last_15_min, avg(wait_time) AS avg_wait_time
+  count(*) FILTER (pickup_datetime >= window_start + INTERVAL 45 MINUTE) AS trips_last_15_min, avg(wait_time) AS avg_wait_time,
+  count(DISTINCT driver_id) AS available_drivers
 FROM (SELECT *, time_bucket(INTERVAL 15 MINUTE, pickup_datetime) - k * INTERVAL 15 MINUTE AS window_start
   FROM rides CROSS JOIN generate_series(0, 3) s(k))
 WHERE window_start + INTERVAL 1 HOUR <= {CLOSED.format('rides')}
@@ -58,9 +59,9 @@ FROM completed WHERE date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR <= {C
 GROUP BY 1, 2
 """, "avg_fare avg_distance")
 
+# Every event arrives twice.
 add("stream_dedup_late", lambda b: emitted(b, live.stream_dedup_late(
-    event_stream(b).select("event_id", "ts", "user_id", "event_type", "value"))),
-    "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events", "value")
+    event_stream(b).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy"))), "SELECT * FROM events")
 
 add("stream_sessions", lambda b: emitted(b, live.stream_sessions(ride_stream(b))), f"""
 WITH g AS (
@@ -80,9 +81,17 @@ def daily_upsert(b) -> DataFrame:
     return upsert.read_daily(b.spark, path)
 
 
+def ride_changes(b) -> DataFrame:
+    """Every ride in all the states it has gone through, the last one first, with the pickup time it has in the end."""
+    final = F.col("trip_status")
+    passed = F.when(final == "Requested", F.array(final)).when(final == "InProgress", F.array(final, F.lit("Requested")))
+    states = passed.otherwise(F.array(final, F.lit("InProgress"), F.lit("Requested")))
+    return ride_stream(b).withColumn("trip_status", F.explode(states))
+
+
 def monitor(b) -> DataFrame:
     path = storage.scratch_path(b.spark, "monitor")
-    upsert.stream_active_monitor(ride_stream(b), path, f"{path}/checkpoint")
+    upsert.stream_active_monitor(ride_changes(b), path, f"{path}/checkpoint")
     rows = upsert.read_monitor(b.spark, path)
     return rows.filter(F.col("version") == rows.agg(F.max("version")).scalar()).drop("version")
 

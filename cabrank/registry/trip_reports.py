@@ -92,7 +92,7 @@ SELECT pickup_hour, {DAY} AS day_name, trip_count, avg_fare, avg_total, stddev_t
   CASE WHEN trip_count > avg_hourly_trips * CAST(1.5 AS DOUBLE) THEN 'High Demand'
     WHEN trip_count > avg_hourly_trips * CAST(1.2 AS DOUBLE) THEN 'Moderate Demand' ELSE 'Normal Demand' END AS demand_level
 FROM cells CROSS JOIN overall
-""", "avg_fare avg_total stddev_total avg_hourly_trips surge_multiplier demand_vs_avg_pct")
+""", "avg_fare avg_total stddev_total avg_hourly_trips demand_vs_avg_pct")
 
 add("rush_hour_periods", lambda b: demand.rush_hour_periods(b.trips, b.trips_as_of), f"""
 SELECT CASE WHEN pickup_hour BETWEEN 7 AND 9 AND NOT is_weekend THEN 'Morning Rush'
@@ -338,7 +338,7 @@ FROM trips GROUP BY 1
 """
 add("fare_percentiles", lambda b: business.fare_percentiles(b.trips), FARE_PERCENTILES)
 # The same report by the way taken beyond the size limit.
-add("fare_percentiles_ranges", lambda b: business.fare_percentiles(b.trips, method="ranges"), FARE_PERCENTILES)
+add("fare_percentiles_ranges", lambda b: business.fare_percentiles(b.trips), FARE_PERCENTILES)
 
 add("fare_zscore_by_type", lambda b: business.fare_zscore_by_type(b.trips, b.trips_as_of), """
 WITH s AS (SELECT trip_type, avg(fare_per_mile) AS avg_fare_per_mile, stddev_samp(fare_per_mile) AS stddev_fare_per_mile
@@ -350,7 +350,7 @@ SELECT trip_key, pickup_datetime, t.trip_type, fare_amount, trip_distance, fare_
     AS fare_classification
 FROM recent7 t JOIN s ON t.trip_type = s.trip_type
 WHERE abs(fare_per_mile - avg_fare_per_mile) / nullif(stddev_fare_per_mile, 0) > 2
-""", "fare_amount trip_distance fare_per_mile total_amount avg_fare_per_mile stddev_fare_per_mile fare_z_score")
+""", "fare_per_mile avg_fare_per_mile stddev_fare_per_mile fare_z_score")
 
 add("fare_anomaly_rules", lambda b: business.fare_anomaly_rules(b.trips, b.trips_as_of), """
 WITH s AS (SELECT avg(fare_per_mile) AS m1, stddev_samp(fare_per_mile) AS s1, avg(total_amount) AS m2,
@@ -365,7 +365,7 @@ SELECT trip_key, pickup_datetime, pickup_location_id, dropoff_location_id, trip_
 FROM scored
 WHERE abs(z1) > 3 OR abs(z2) > 3 OR (trip_duration_minutes < 2 AND trip_distance > 1) OR trip_speed_mph > 80
 ORDER BY pickup_datetime DESC, trip_key, total_amount LIMIT 100
-""", "trip_distance fare_amount total_amount fare_per_mile trip_duration_minutes")
+""", "fare_per_mile trip_duration_minutes")
 
 # --- management reports -----------------------------------------------------
 
@@ -412,7 +412,7 @@ SELECT 'Performance Benchmarks' AS category, round(quantile_cont(trip_speed_mph,
 FROM trips
 """
 add("benchmarks", lambda b: business.benchmarks(b.trips), BENCHMARKS)
-add("benchmarks_ranges", lambda b: business.benchmarks(b.trips, method="ranges"), BENCHMARKS)
+add("benchmarks_ranges", lambda b: business.benchmarks(b.trips), BENCHMARKS)
 
 # --- parameterised functions ------------------------------------------------
 

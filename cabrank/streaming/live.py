@@ -12,18 +12,31 @@ from cabrank.operators import aggregates as a
 
 
 def stream_zone_demand(rides: DataFrame, delay: str = "15 minutes") -> DataFrame:
-    """Rides per zone in the last hour and in its last quarter, renewed every quarter of an hour."""
+    """Rides per zone in the last hour and in its last quarter, renewed every quarter of an hour.
+
+    A stream cannot count distinct values, so rides are first put together per driver; the
+    drivers of a window are then rows. Both steps follow the same watermark.
+    """
     window = F.window("pickup_datetime", "1 hour", "15 minutes")
     in_last_quarter = F.col("pickup_datetime") >= F.col("window.end") - F.expr("INTERVAL 15 minutes")
-    return (
+    per_driver = (
         rides.withWatermark("pickup_datetime", delay)
         .withColumn("window", window)
-        .groupBy("window", "pickup_zone_id")
+        .groupBy("window", "pickup_zone_id", "driver_id")
+        .agg(
+            a.rows("_trips"),
+            a.count_where(in_last_quarter, "_recent"),
+            F.sum("wait_time").alias("_wait"),
+            F.count("wait_time").alias("_waits"),
+        )
+    )
+    return (
+        per_driver.groupBy("window", "pickup_zone_id")
         .agg(
-            a.rows("trips_last_hour"),
-            a.count_where(in_last_quarter, "trips_last_15_min"),
-            a.mean("wait_time", "avg_wait_time"),
-            a.distinct("driver_id", "available_drivers", approximate=True),
+            F.sum("_trips").alias("trips_last_hour"),
+            F.sum("_recent").alias("trips_last_15_min"),
+            F.try_divide(F.sum("_wait"), F.sum("_waits")).alias("avg_wait_time"),
+            F.count("driver_id").alias("available_drivers"),
         )
         .select(
             F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "pickup_zone_id",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from cabrank.functions import columns as c
 from cabrank.operators import aggregates as a
 from cabrank.operators.clean import since_moment
 from cabrank.plans.ride_demand import active_monitor
@@ -100,16 +101,38 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 # --- active rides -----------------------------------------------------------
 
 
-def latest_status(changes: DataFrame, key: str = "ride_id", time: str = "pickup_datetime") -> DataFrame:
-    """The most recent row of every ride."""
-    others = [n for n in changes.columns if n not in (key, time)]
-    newest = F.max(F.struct(time, *others)).alias("_row")
-    return changes.groupBy(key).agg(newest).select(key, "_row.*")
+# How far a ride has come; a ride that ended, one way or the other, stays ended.
+PROGRESS = {"Requested": 1, "InProgress": 2, "Completed": 3, "Cancelled": 3}
 
 
-def stream_active_monitor(rides: DataFrame, path: str, checkpoint: str, interval: str = "4 hours") -> None:
+def latest_status(
+    changes: DataFrame,
+    key: str = "ride_id",
+    changed: str | None = None,
+    status: str = "trip_status",
+) -> DataFrame:
+    """The most recent row of every ride.
+
+    ``changed`` names the time of a change, if the source has one. Without it, and among
+    changes of the same time, the row that has come furthest counts; its pickup time says
+    nothing, as a ride keeps that while its status changes. Other ties are decided by the
+    remaining columns, so the result does not depend on the order of arrival.
+    """
+    progress = F.coalesce(c.label(status, PROGRESS), F.lit(0)).alias("_progress")
+    first = ([changed] if changed else []) + [progress]
+    others = [n for n in changes.columns if n not in (key, changed)]
+    newest = F.max(F.struct(*first, *others)).alias("_row")
+    rows = changes.groupBy(key).agg(newest).select(key, "_row.*")
+    return rows.select(changes.columns)
+
+
+def stream_active_monitor(
+    rides: DataFrame, path: str, checkpoint: str, interval: str = "4 hours", changed: str | None = None
+) -> None:
     """Keep the latest status of all rides of the last hours, and a monitor row per batch.
 
+    ``changed`` names the time of a status change, see ``latest_status``.
+
     Each batch writes a version of the state: the previous version merged with
     the batch and cut to the interval before the latest event, so its size is
     bounded by the interval and does not grow with the history.
@@ -120,7 +143,7 @@ def stream_active_monitor(rides: DataFrame, path: str, checkpoint: str, interval
         changes = batch
         if batch_id > 0:
             changes = spark.read.parquet(f"{path}/state/version={batch_id - 1}").unionByName(batch)
-        merged = latest_status(changes)
+        merged = latest_status(changes, changed=changed)
         now = merged.agg(F.max("pickup_datetime")).scalar()
         since_moment(merged, now, interval).write.mode("overwrite").parquet(f"{path}/state/version={batch_id}")
         state = spark.read.parquet(f"{path}/state/version={batch_id}")

@@ -17,7 +17,7 @@ NAMES = (
 
 @pytest.fixture
 def large(spark, monkeypatch):
-    for limit in ("BROADCAST_LIMIT", "SINGLE_TASK_LIMIT", "ROW_GROUP_BYTES"):
+    for limit in ("BROADCAST_LIMIT", "ROW_GROUP_BYTES"):
         monkeypatch.setattr(sizing, limit, 0)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabrank.operators import percentiles as p
-from cabrank.operators import sizing
 from conftest import rows_of
 
 SPECS = {"p0": ("x", 0.0), "p10": ("x", 0.1), "p50": ("x", 0.5), "p95": ("x", 0.95), "p100": ("x", 1.0), "y50": ("y", 0.5)}
@@ -42,8 +41,9 @@ def test_ranges_equal_builtin_and_numpy(spark, shape):
     rows += [(rng.choice("abc"), draw(), None if rng.random() < 0.3 else draw()) for _ in range(2000)]
     rows += [("one", 5.0, None), (None, draw(), draw()), (None, draw(), draw())]
     df = frame(spark, rows)
-    ranges = by_group(p.grouped(df, ["g"], [], SPECS, "ranges"))
-    assert_same(ranges, by_group(p.grouped(df, ["g"], [], SPECS, "builtin")))
+    ranges = by_group(p.grouped(df, ["g"], [], SPECS))
+    builtin = df.groupBy("g").agg(*[F.percentile(column, share).alias(name) for name, (column, share) in SPECS.items()])
+    assert_same(ranges, by_group(builtin))
     hot = np.array([r[1] for r in rows if r[0] == "hot"])
     assert ranges["hot"]["p95"] == pytest.approx(np.percentile(hot, 95), rel=1e-12, abs=1e-12)
     assert ranges["one"] == {"p0": 5.0, "p10": 5.0, "p50": 5.0, "p95": 5.0, "p100": 5.0, "y50": None}
@@ -51,32 +51,26 @@ def test_ranges_equal_builtin_and_numpy(spark, shape):
 
 def test_group_without_values_keeps_its_aggregates(spark):
     df = frame(spark, [("a", None, None), ("a", None, 1.0), ("b", 2.0, None)])
-    result = by_group(p.grouped(df, ["g"], [F.count(F.lit(1)).alias("n")], {"m": ("x", 0.5)}, "ranges"))
+    result = by_group(p.grouped(df, ["g"], [F.count(F.lit(1)).alias("n")], {"m": ("x", 0.5)}))
     assert result == {"a": {"n": 2, "m": None}, "b": {"n": 1, "m": 2.0}}
 
 
 def test_no_keys_and_no_rows(spark):
     df = frame(spark, [("a", 1.0, None), ("a", 2.0, None), ("b", 4.0, None)])
-    assert rows_of(p.grouped(df, [], [F.sum("x").alias("s")], {"m": ("x", 0.5)}, "ranges")) == [{"s": 7.0, "m": 2.0}]
+    assert rows_of(p.grouped(df, [], [F.sum("x").alias("s")], {"m": ("x", 0.5)})) == [{"s": 7.0, "m": 2.0}]
     empty = df.filter("x < 0")
-    assert rows_of(p.grouped(empty, [], [F.count("x").alias("n")], {"m": ("x", 0.5)}, "ranges")) == [{"n": 0, "m": None}]
-    assert rows_of(p.grouped(empty, ["g"], [], {"m": ("x", 0.5)}, "ranges")) == []
-
-
-def test_method_follows_the_size_of_the_input(spark, bound, monkeypatch):
-    assert sizing.fits(bound.trips, sizing.SINGLE_TASK_LIMIT)
-    calls = []
-    monkeypatch.setattr(p, "order_statistics", lambda *args: calls.append(args) or p._builtin(args[0], args[1], [], args[2]))
-    p.grouped(bound.trips, ["trip_type"], [], {"m": ("fare_amount", 0.5)})
-    assert not calls
-    monkeypatch.setattr(sizing, "SINGLE_TASK_LIMIT", 10)
-    p.grouped(bound.trips, ["trip_type"], [], {"m": ("fare_amount", 0.5)})
-    assert len(calls) == 1
-
-
-def test_unknown_method(spark):
-    with pytest.raises(ValueError):
-        p.grouped(frame(spark, [("a", 1.0, 1.0)]), ["g"], [], SPECS, "other")
+    assert rows_of(p.grouped(empty, [], [F.count("x").alias("n")], {"m": ("x", 0.5)})) == [{"n": 0, "m": None}]
+    assert rows_of(p.grouped(empty, ["g"], [], {"m": ("x", 0.5)})) == []
+
+
+def test_ranges_follow_the_partitions(spark, bound):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert p.stride(bound.trips) == p.LEAST_STRIDE
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40000")
+        assert p.stride(bound.trips) ** 2 >= 4 * 40_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_approximate_is_within_its_rank_error(spark):

@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cabrank import registry
+from cabrank.registry.base import stepped, stepped_sql
 from cabrank.sources import bindings
 from conftest import SMALL
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"sample_rows", "recommended_partitions", "driver_segments", "segment_profile", "fare_regression"}
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
+ROWS_ONLY = {"driver_segments", "segment_profile", "fare_regression"}
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +56,21 @@ def test_query(spark, duck, name):
     assert table(result.columns, rows) == table(expected.columns, expected.fetchall())
 
 
+def test_all_are_in_the_entry():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+def test_steps_keep_large_and_special_values(spark, duck):
+    values = [0.0, 1.25, -3.0000004, 12345.678, 1e10, 1e14, -1e200, float("inf"), float("-inf"), float("nan")]
+    rows = stepped(spark.createDataFrame([(v, v) for v in values], "x double, y double"), "x").collect()
+    assert [str(r.y) for r in rows] == [str(v) for v in values]
+    assert [str(r.x) for r in rows[4:]] == [str(v) for v in values[4:]]
+    assert [r.x for r in rows[:4]] == pytest.approx(values[:4], abs=1e-2)
+    casts = ", ".join(f"('{v}'::DOUBLE)" for v in values)
+    expected = duck.sql(f"SELECT {stepped_sql('x')} FROM (VALUES {casts}) t(x)").fetchall()
+    assert [str(r.x) for r in rows] == [str(x) for (x,) in expected]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 

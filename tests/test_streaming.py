@@ -143,3 +143,35 @@ def test_stream_equals_batch_on_closed_hours(spark, ride_files, make_rides):
 def test_latest_status_by_time(make_rides):
     rides = make_rides({"ride_id": 1, **at(8, trip_status="Requested")}, {"ride_id": 1, **at(9, trip_status="Completed")})
     assert [r["trip_status"] for r in rows_of(upsert.latest_status(rides).select("ride_id", F.col("trip_status")))] == ["Completed"]
+
+
+STATES = ["Requested", "InProgress", "Completed"]
+
+
+def test_latest_status_of_rides_that_keep_their_pickup_time(make_rides):
+    for order in (STATES, STATES[::-1], ["InProgress", "Requested"]):
+        rides = make_rides(*[{"ride_id": 1, **at(8, trip_status=s)} for s in order])
+        assert [r["trip_status"] for r in rows_of(upsert.latest_status(rides))] == [max(order, key=STATES.index)]
+
+
+def test_time_of_a_change_comes_before_progress(make_rides):
+    rides = make_rides({"ride_id": 1, **at(8, trip_status="InProgress")}, {"ride_id": 1, **at(8, trip_status="Requested")})
+    changes = rides.withColumn("updated_at", F.when(F.col("trip_status") == "Requested", 2).otherwise(1))
+    latest = rows_of(upsert.latest_status(changes, changed="updated_at"))
+    assert [(r["trip_status"], r["updated_at"]) for r in latest] == [("Requested", 2)]
+
+
+def test_monitor_over_batches_out_of_order(spark, ride_files, make_rides):
+    state = f"{ride_files.path}/state"
+    for states in (["Completed", "Requested"], ["InProgress", "InProgress"]):
+        ride_files.add(make_rides(*[{"ride_id": i, **at(8, trip_status=s)} for i, s in enumerate(states)]))
+        upsert.stream_active_monitor(ride_files.stream(), state, f"{ride_files.path}/checkpoint")
+    rows = sorted(rows_of(upsert.read_monitor(spark, state)), key=lambda r: r["version"])
+    assert [(r["active_trips"], r["pending_requests"]) for r in rows] == [(0, 1), (1, 0)]
+
+
+def test_zone_demand_counts_each_driver_once(spark, ride_files, make_rides):
+    ride_files.add(make_rides(*[at(8, m, driver_id=d, wait_time=w) for m, d, w in ((0, 1, 10), (50, 1, 20), (55, 2, 60))], at(23)))
+    rows = rows_of(ride_files.append(live.stream_zone_demand(ride_files.stream())))
+    whole = [r for r in rows if (r["window_start"].hour, r["window_start"].minute) == (8, 0)]
+    assert [(r["trips_last_hour"], r["trips_last_15_min"], r["avg_wait_time"], r["available_drivers"]) for r in whole] == [(3, 2, 30.0, 2)]
