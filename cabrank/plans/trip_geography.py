@@ -12,14 +12,18 @@ from cabrank.plans.trip_demand import recent
 
 
 def top_pickup_zones(trips: DataFrame, zones: DataFrame, as_of=None, days: int = 30, min_trips: int = 100, k: int = 25) -> DataFrame:
-    """Busiest pickup zones with their share of all trips from a known zone."""
-    grouped = add_zone(recent(trips, as_of, days), zones, "pickup").groupBy("pickup_borough", "pickup_zone").agg(
-        a.rows(),
-        a.mean("fare_amount", "avg_fare"),
-        a.mean("trip_distance", "avg_distance"),
-        a.total("total_amount", "total_revenue"),
-        a.mean("tip_percentage", "avg_tip_pct"),
-        a.mean("trip_duration_minutes", "avg_duration_min"),
+    """Busiest pickup zones with their share of all trips from a known zone; names meet one row per place and day."""
+    cells = recent(trips, as_of, days).groupBy("pickup_location_id", "pickup_date").agg(
+        a.rows("_n"),
+        *a.partial_sums("fare_amount", "trip_distance", "total_amount", "tip_percentage", "trip_duration_minutes"),
+    )
+    grouped = add_zone(cells, zones, "pickup").groupBy("pickup_borough", "pickup_zone").agg(
+        a.total("_n", "trip_count"),
+        a.merged_mean("fare_amount", "avg_fare"),
+        a.merged_mean("trip_distance", "avg_distance"),
+        a.total("_sum_total_amount", "total_revenue"),
+        a.merged_mean("tip_percentage", "avg_tip_pct"),
+        a.merged_mean("trip_duration_minutes", "avg_duration_min"),
         a.distinct("pickup_date", "active_days"),
     )
     shared = a.share_of_total(grouped, "trip_count", "market_share_pct")
@@ -27,14 +31,17 @@ def top_pickup_zones(trips: DataFrame, zones: DataFrame, as_of=None, days: int =
 
 
 def borough_flows(trips: DataFrame, zones: DataFrame, as_of=None, days: int = 30, min_trips: int = 50) -> DataFrame:
-    known = inner_equi(recent(trips, as_of, days), zones)
-    grouped = known.groupBy("pickup_borough", "dropoff_borough").agg(
-        a.rows(),
-        a.mean("fare_amount", "avg_fare"),
-        a.mean("trip_distance", "avg_distance"),
-        a.mean("trip_duration_minutes", "avg_duration"),
-        a.total("total_amount", "total_revenue"),
-        a.mean("tip_percentage", "avg_tip_pct"),
+    pairs = recent(trips, as_of, days).groupBy("pickup_location_id", "dropoff_location_id").agg(
+        a.rows("_n"),
+        *a.partial_sums("fare_amount", "trip_distance", "trip_duration_minutes", "total_amount", "tip_percentage"),
+    )
+    grouped = inner_equi(pairs, zones).groupBy("pickup_borough", "dropoff_borough").agg(
+        a.total("_n", "trip_count"),
+        a.merged_mean("fare_amount", "avg_fare"),
+        a.merged_mean("trip_distance", "avg_distance"),
+        a.merged_mean("trip_duration_minutes", "avg_duration"),
+        a.total("_sum_total_amount", "total_revenue"),
+        a.merged_mean("tip_percentage", "avg_tip_pct"),
     )
     return a.having(a.share_of_total(grouped, "trip_count", "flow_percentage"), min_trips)
 

@@ -34,11 +34,15 @@ def hourly_demand_view(trips: DataFrame) -> DataFrame:
 
 
 def zone_popularity(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    return add_zone(trips, zones, "pickup").groupBy("pickup_borough", "pickup_zone").agg(
-        a.rows("pickup_count"),
-        a.mean("fare_amount", "avg_fare"),
-        a.mean("trip_distance", "avg_distance"),
-        a.mean("tip_percentage", "avg_tip_pct"),
+    """Trips are reduced to one row per place before the names are joined."""
+    places = trips.groupBy("pickup_location_id").agg(
+        a.rows("_n"), *a.partial_sums("fare_amount", "trip_distance", "tip_percentage")
+    )
+    return add_zone(places, zones, "pickup").groupBy("pickup_borough", "pickup_zone").agg(
+        a.total("_n", "pickup_count"),
+        a.merged_mean("fare_amount", "avg_fare"),
+        a.merged_mean("trip_distance", "avg_distance"),
+        a.merged_mean("tip_percentage", "avg_tip_pct"),
     )
 
 

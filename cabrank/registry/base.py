@@ -90,7 +90,7 @@ FROM trips t LEFT JOIN zones p ON t.pickup_location_id = p.location_id
 
 
 def _recent(days: int) -> str:
-    return f"SELECT * FROM trips WHERE pickup_date >= (SELECT max(pickup_date) FROM trips) - {days}"
+    return f"SELECT * FROM trips WHERE pickup_date >= DATE '{bindings.TRIPS_AS_OF}' - {days}"
 
 
 PARTS = {

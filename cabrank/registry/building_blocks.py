@@ -110,7 +110,7 @@ WHERE payment_type IN (1, 2) AND pickup_hour BETWEEN 7 AND 19 AND NOT is_weekend
 
 def dated_counts(b) -> DataFrame:
     frames = [
-        clean.since(b.trips, b.trips_as_of, days).agg(F.lit(f"{days} days").alias("period"), a.rows("row_count"))
+        clean.since(b.recent(days), b.trips_as_of, days).agg(F.lit(f"{days} days").alias("period"), a.rows("row_count"))
         for days in (7, 30, 90)
     ]
     frames += [

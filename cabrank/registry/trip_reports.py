@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cabrank.operators import joins
 from cabrank.plans import trip_business as business
 from cabrank.plans import trip_demand as demand
 from cabrank.plans import trip_geography as geo
@@ -80,7 +81,7 @@ SELECT pickup_hour, {DAY} AS day_name, trip_type, count(*) AS trip_count, avg(fa
 FROM trips GROUP BY pickup_hour, pickup_day_of_week, trip_type
 """, "avg_fare avg_distance avg_tip_pct median_total")
 
-add("peak_hours_surge", lambda b: demand.peak_hours_surge(b.trips, b.trips_as_of), f"""
+add("peak_hours_surge", lambda b: demand.peak_hours_surge(b.recent(30), b.trips_as_of), f"""
 WITH cells AS (
   SELECT pickup_hour, pickup_day_of_week, count(*) AS trip_count, avg(fare_amount) AS avg_fare,
     avg(total_amount) AS avg_total, stddev_samp(total_amount) AS stddev_total
@@ -94,7 +95,7 @@ SELECT pickup_hour, {DAY} AS day_name, trip_count, avg_fare, avg_total, stddev_t
 FROM cells CROSS JOIN overall
 """, "avg_fare avg_total stddev_total avg_hourly_trips demand_vs_avg_pct")
 
-add("rush_hour_periods", lambda b: demand.rush_hour_periods(b.trips, b.trips_as_of), f"""
+add("rush_hour_periods", lambda b: demand.rush_hour_periods(b.recent(30), b.trips_as_of), f"""
 SELECT CASE WHEN pickup_hour BETWEEN 7 AND 9 AND NOT is_weekend THEN 'Morning Rush'
     WHEN pickup_hour BETWEEN 17 AND 19 AND NOT is_weekend THEN 'Evening Rush'
     WHEN pickup_hour BETWEEN 10 AND 16 AND NOT is_weekend THEN 'Daytime'
@@ -104,7 +105,7 @@ SELECT CASE WHEN pickup_hour BETWEEN 7 AND 9 AND NOT is_weekend THEN 'Morning Ru
 FROM recent30 GROUP BY 1, 2
 """, PERIOD_FLOATS)
 
-add("rush_hour_weekday_share", lambda b: demand.rush_hour_weekday_share(b.trips, b.trips_as_of), f"""
+add("rush_hour_weekday_share", lambda b: demand.rush_hour_weekday_share(b.recent(30), b.trips_as_of), f"""
 SELECT {PART} AS time_period, trip_type, count(*) AS trip_count, {PERIOD},
   round((count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY trip_type))::DECIMAL(30,9), 2)::DOUBLE AS pct_of_total
 FROM recent30 WHERE NOT is_weekend GROUP BY 1, 2
@@ -118,7 +119,7 @@ SELECT CASE WHEN pickup_hour IN (7, 8, 9, 17, 18, 19) AND NOT is_weekend THEN 'R
 FROM trips GROUP BY 1, 2
 """, PERIOD_FLOATS)
 
-add("monthly_trends", lambda b: demand.monthly_trends(b.trips, b.trips_as_of), """
+add("monthly_trends", lambda b: demand.monthly_trends(b.recent(90), b.trips_as_of), """
 SELECT pickup_year, pickup_month, trip_type, count(*) AS total_trips, sum(total_amount) AS total_revenue,
   avg(fare_amount) AS avg_fare, avg(trip_distance) AS avg_distance, avg(tip_percentage) AS avg_tip_pct,
   avg(trip_speed_mph) AS avg_speed
@@ -139,13 +140,13 @@ SELECT *, round(((total_trips - prev_month_trips) * CAST(100 AS DOUBLE) / nullif
 FROM lagged
 """, "total_revenue avg_fare avg_distance avg_tip_pct")
 
-add("dow_patterns", lambda b: demand.dow_patterns(b.trips, b.trips_as_of), f"""
+add("dow_patterns", lambda b: demand.dow_patterns(b.recent(30), b.trips_as_of), f"""
 SELECT {DAY} AS day_name, is_weekend, trip_type, count(*) AS trip_count, avg(fare_amount) AS avg_fare,
   avg(trip_distance) AS avg_distance, sum(total_amount) AS total_revenue, avg(tip_percentage) AS avg_tip_pct
 FROM recent30 GROUP BY 1, 2, 3
 """, "avg_fare avg_distance total_revenue avg_tip_pct")
 
-add("daily_performance", lambda b: demand.daily_performance(b.trips, b.trips_as_of), """
+add("daily_performance", lambda b: demand.daily_performance(b.recent(30), b.trips_as_of), """
 SELECT pickup_date, trip_type, count(*) AS total_trips, sum(total_amount) AS total_revenue,
   avg(fare_amount) AS avg_fare, avg(trip_distance) AS avg_distance, avg(tip_percentage) AS avg_tip_pct,
   avg(trip_duration_minutes) AS avg_duration, avg(trip_speed_mph) AS avg_speed,
@@ -153,13 +154,13 @@ SELECT pickup_date, trip_type, count(*) AS total_trips, sum(total_amount) AS tot
 FROM recent30 GROUP BY 1, 2
 """, "total_revenue avg_fare avg_distance avg_tip_pct avg_duration avg_speed")
 
-add("weekend_vs_weekday", lambda b: demand.weekend_vs_weekday(b.trips, b.trips_as_of), f"""
+add("weekend_vs_weekday", lambda b: demand.weekend_vs_weekday(b.recent(30), b.trips_as_of), f"""
 SELECT CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS period_type, trip_type, count(*) AS trip_count,
   {PERIOD}, sum(total_amount) AS total_revenue
 FROM recent30 GROUP BY 1, 2
 """, PERIOD_FLOATS + " total_revenue")
 
-add("demand_forecast_features", lambda b: demand.demand_forecast_features(b.trips, b.trips_as_of), f"""
+add("demand_forecast_features", lambda b: demand.demand_forecast_features(b.recent(30), b.trips_as_of), f"""
 SELECT pickup_date, pickup_hour, pickup_day_of_week, {DAY} AS day_name, is_weekend, trip_type,
   count(*) AS trip_count, sum(total_amount) AS total_revenue, avg(fare_amount) AS avg_fare
 FROM recent30 GROUP BY ALL
@@ -201,7 +202,7 @@ FROM (SELECT pickup_date, trip_type, count(*) AS n FROM trips GROUP BY 1, 2)
 
 # --- geography --------------------------------------------------------------
 
-add("top_pickup_zones", lambda b: geo.top_pickup_zones(b.trips, b.zones, b.trips_as_of, min_trips=20), """
+add("top_pickup_zones", lambda b: geo.top_pickup_zones(b.recent(30), b.zones, b.trips_as_of, min_trips=20), """
 SELECT z.borough AS pickup_borough, z.zone AS pickup_zone, count(*) AS trip_count, avg(fare_amount) AS avg_fare,
   avg(trip_distance) AS avg_distance, sum(total_amount) AS total_revenue, avg(tip_percentage) AS avg_tip_pct,
   avg(trip_duration_minutes) AS avg_duration_min, count(DISTINCT pickup_date) AS active_days,
@@ -211,7 +212,7 @@ FROM recent30 t JOIN zones z ON t.pickup_location_id = z.location_id
 GROUP BY 1, 2 HAVING count(*) >= 20 ORDER BY trip_count DESC, 1, 2 LIMIT 25
 """, "avg_fare avg_distance total_revenue avg_tip_pct avg_duration_min")
 
-add("borough_flows", lambda b: geo.borough_flows(b.trips, b.zones, b.trips_as_of, min_trips=20), """
+add("borough_flows", lambda b: geo.borough_flows(b.recent(30), b.zones, b.trips_as_of, min_trips=20), """
 WITH flows AS (
   SELECT p.borough AS pickup_borough, d.borough AS dropoff_borough, count(*) AS trip_count,
     avg(fare_amount) AS avg_fare, avg(trip_distance) AS avg_distance, avg(trip_duration_minutes) AS avg_duration,
@@ -227,7 +228,7 @@ AIRPORT = """avg(fare_amount) AS avg_fare, avg(total_amount) AS avg_total, avg(t
   avg(trip_duration_minutes) AS avg_duration, avg(tip_percentage) AS avg_tip_pct"""
 AIRPORT_FLOATS = "avg_fare avg_total avg_distance avg_duration avg_tip_pct"
 
-add("airport_by_airport", lambda b: geo.airport_by_airport(b.trips, b.zones, b.trips_as_of), f"""
+add("airport_by_airport", lambda b: geo.airport_by_airport(b.recent(30), b.zones, b.trips_as_of), f"""
 SELECT CASE WHEN ap.location_id = t.pickup_location_id THEN 'From Airport' ELSE 'To Airport' END AS trip_category,
   ap.zone AS airport_name, ap.borough, trip_type, count(*) AS trip_count, {AIRPORT}
 FROM recent30 t JOIN (SELECT * FROM zones WHERE zone LIKE '%Airport%' OR zone LIKE '%JFK%'
@@ -243,7 +244,7 @@ SELECT CASE WHEN regexp_matches(pickup_zone, 'Airport|JFK|LaGuardia|LGA|Newark')
 FROM tz GROUP BY 1, 2
 """, AIRPORT_FLOATS)
 
-add("speed_by_borough_hour", lambda b: geo.speed_by_borough_hour(b.trips, b.zones, b.trips_as_of, min_trips=3), """
+add("speed_by_borough_hour", lambda b: geo.speed_by_borough_hour(b.recent(30), b.zones, b.trips_as_of, min_trips=3), """
 SELECT pickup_hour, z.borough AS pickup_borough, trip_type, count(*) AS trip_count, avg(trip_speed_mph) AS avg_speed,
   avg(trip_duration_minutes) AS avg_duration, quantile_cont(trip_speed_mph, 0.25) AS q1_speed,
   quantile_cont(trip_speed_mph, 0.5) AS median_speed, quantile_cont(trip_speed_mph, 0.75) AS q3_speed
@@ -251,7 +252,7 @@ FROM recent30 t JOIN zones z ON t.pickup_location_id = z.location_id
 WHERE trip_speed_mph BETWEEN 1 AND 60 GROUP BY 1, 2, 3 HAVING count(*) >= 3
 """, "avg_speed avg_duration q1_speed median_speed q3_speed")
 
-add("hourly_efficiency", lambda b: business.hourly_efficiency(b.trips, b.trips_as_of), """
+add("hourly_efficiency", lambda b: business.hourly_efficiency(b.recent(30), b.trips_as_of), """
 WITH hours AS (
   SELECT pickup_date, pickup_hour, trip_type, count(*) AS n, sum(total_amount) AS revenue,
     avg(trip_duration_minutes) AS duration, sum(trip_duration_minutes) AS active,
@@ -262,7 +263,7 @@ SELECT trip_type, avg(n) AS avg_trips_per_hour, avg(revenue) AS avg_revenue_per_
 FROM hours GROUP BY 1
 """, "avg_trips_per_hour avg_revenue_per_hour avg_trip_duration avg_active_minutes_per_hour avg_duration_variability")
 
-add("route_efficiency", lambda b: geo.route_efficiency(b.trips, b.zones, b.trips_as_of, min_trips=2), """
+add("route_efficiency", lambda b: geo.route_efficiency(b.recent(30), b.zones, b.trips_as_of, min_trips=2), """
 WITH pairs AS (
   SELECT pickup_location_id AS p_id, dropoff_location_id AS d_id, count(*) AS trip_count, avg(trip_distance) AS m1,
     avg(trip_duration_minutes) AS m2, avg(trip_speed_mph) AS m3, avg(fare_per_mile) AS m4,
@@ -288,7 +289,7 @@ SELECT pickup_zone, pickup_borough, trip_count, round(speed::DECIMAL(30,9), 2)::
 FROM z ORDER BY speed_rank LIMIT 20
 """)
 
-add("revenue_by_borough", lambda b: geo.revenue_by_borough(b.tz, b.trips_as_of), """
+add("revenue_by_borough", lambda b: geo.revenue_by_borough(joins.trips_with_zones(b.recent(30), b.zones), b.trips_as_of), """
 SELECT z.borough, trip_type, count(*) AS total_trips, sum(total_amount) AS total_revenue,
   avg(total_amount) AS avg_revenue_per_trip, sum(tip_amount) AS total_tips, avg(tip_percentage) AS avg_tip_percentage,
   count(DISTINCT pickup_date) AS active_days
@@ -297,7 +298,7 @@ FROM recent30 t JOIN zones z ON t.pickup_location_id = z.location_id GROUP BY 1,
 
 # --- payments, fares, anomalies ---------------------------------------------
 
-add("payment_tips", lambda b: business.payment_tips(b.trips, b.trips_as_of), f"""
+add("payment_tips", lambda b: business.payment_tips(b.recent(30), b.trips_as_of), f"""
 SELECT {PAYMENT} AS payment_method, trip_type, count(*) AS trip_count,
   round((count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY trip_type))::DECIMAL(30,9), 2)::DOUBLE AS pct_of_type,
   sum(total_amount) AS total_revenue, avg(fare_amount) AS avg_fare, avg(tip_amount) AS avg_tip_amount,
@@ -306,7 +307,7 @@ SELECT {PAYMENT} AS payment_method, trip_type, count(*) AS trip_count,
 FROM recent30 GROUP BY payment_type, trip_type
 """, "total_revenue avg_fare avg_tip_amount avg_tip_pct median_tip_pct p95_tip_pct")
 
-add("fare_by_distance_band", lambda b: business.fare_by_distance_band(b.trips, b.trips_as_of), f"""
+add("fare_by_distance_band", lambda b: business.fare_by_distance_band(b.recent(30), b.trips_as_of), f"""
 SELECT {BAND} AS distance_band, trip_type, count(*) AS trip_count, avg(trip_distance) AS avg_distance,
   avg(fare_amount) AS avg_fare, avg(fare_per_mile) AS avg_fare_per_mile, avg(total_amount) AS avg_total,
   avg(trip_duration_minutes) AS avg_duration, avg(trip_speed_mph) AS avg_speed,
@@ -314,7 +315,7 @@ SELECT {BAND} AS distance_band, trip_type, count(*) AS trip_count, avg(trip_dist
 FROM recent30 GROUP BY 1, 2
 """, "avg_distance avg_fare avg_fare_per_mile avg_total avg_duration avg_speed median_fare_per_mile")
 
-add("rate_code_analysis", lambda b: business.rate_code_analysis(b.trips, b.trips_as_of), f"""
+add("rate_code_analysis", lambda b: business.rate_code_analysis(b.recent(30), b.trips_as_of), f"""
 SELECT {RATE} AS rate_type, trip_type, count(*) AS trip_count, avg(fare_amount) AS avg_fare,
   avg(total_amount) AS avg_total, avg(trip_distance) AS avg_distance, avg(trip_duration_minutes) AS avg_duration
 FROM recent30 GROUP BY rate_code_id, trip_type
@@ -340,7 +341,7 @@ add("fare_percentiles", lambda b: business.fare_percentiles(b.trips), FARE_PERCE
 # The same report by the way taken beyond the size limit.
 add("fare_percentiles_ranges", lambda b: business.fare_percentiles(b.trips), FARE_PERCENTILES)
 
-add("fare_zscore_by_type", lambda b: business.fare_zscore_by_type(b.trips, b.trips_as_of), """
+add("fare_zscore_by_type", lambda b: business.fare_zscore_by_type(b.recent(7), b.trips_as_of), """
 WITH s AS (SELECT trip_type, avg(fare_per_mile) AS avg_fare_per_mile, stddev_samp(fare_per_mile) AS stddev_fare_per_mile
   FROM recent7 WHERE fare_per_mile > 0 GROUP BY 1)
 SELECT trip_key, pickup_datetime, t.trip_type, fare_amount, trip_distance, fare_per_mile, total_amount,
@@ -352,7 +353,7 @@ FROM recent7 t JOIN s ON t.trip_type = s.trip_type
 WHERE abs(fare_per_mile - avg_fare_per_mile) / nullif(stddev_fare_per_mile, 0) > 2
 """, "fare_per_mile avg_fare_per_mile stddev_fare_per_mile fare_z_score")
 
-add("fare_anomaly_rules", lambda b: business.fare_anomaly_rules(b.trips, b.trips_as_of), """
+add("fare_anomaly_rules", lambda b: business.fare_anomaly_rules(b.recent(7), b.trips_as_of), """
 WITH s AS (SELECT avg(fare_per_mile) AS m1, stddev_samp(fare_per_mile) AS s1, avg(total_amount) AS m2,
     stddev_samp(total_amount) AS s2 FROM recent7 WHERE fare_per_mile > 0),
 scored AS (SELECT *, (fare_per_mile - m1) / nullif(s1, 0) AS z1, (total_amount - m2) / nullif(s2, 0) AS z2
@@ -369,7 +370,7 @@ ORDER BY pickup_datetime DESC, trip_key, total_amount LIMIT 100
 
 # --- management reports -----------------------------------------------------
 
-add("market_share", lambda b: business.market_share(b.trips, b.trips_as_of), """
+add("market_share", lambda b: business.market_share(b.recent(30), b.trips_as_of), """
 SELECT trip_type, count(*) AS trip_count, sum(total_amount) AS total_revenue, avg(fare_amount) AS avg_fare,
   avg(trip_distance) AS avg_distance, avg(tip_percentage) AS avg_tip_pct,
   round((count(*) * 100.0 / sum(count(*)) OVER ())::DECIMAL(30,9), 2)::DOUBLE AS trip_market_share_pct,
@@ -377,7 +378,7 @@ SELECT trip_type, count(*) AS trip_count, sum(total_amount) AS total_revenue, av
 FROM recent30 GROUP BY 1
 """, "total_revenue avg_fare avg_distance avg_tip_pct")
 
-add("exec_dashboard", lambda b: business.exec_dashboard(b.trips, b.trips_as_of), """
+add("exec_dashboard", lambda b: business.exec_dashboard(b.recent(30), b.trips_as_of), """
 WITH d AS (SELECT pickup_date, count(*) AS n, sum(total_amount) AS revenue, avg(fare_amount) AS fare,
     count(DISTINCT pickup_location_id) AS z FROM recent30 GROUP BY 1),
 g AS (SELECT *, lag(n) OVER (ORDER BY pickup_date) AS p FROM d)

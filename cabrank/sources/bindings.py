@@ -8,9 +8,10 @@ are given with the test data.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cabrank.operators import clean, joins
 from cabrank.operators.sizing import fits_broadcast, spread_small
@@ -124,8 +125,9 @@ TABLES = {
 # The table that gives a view its rows, with a key to spread it by.
 FACT_KEYS = {("trips_raw", "lineitem"): "l_orderkey", ("rides", "orders"): "o_orderkey", ("weather", "events"): "event_id"}
 
-# Rides and weather are read as of this moment instead of the clock.
+# Rides and weather are read as of this moment, trips as of this day, instead of the clock.
 RIDES_AS_OF = "2024-01-31 00:00:00"
+TRIPS_AS_OF = "2001-08-01"
 
 
 def view(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
@@ -196,10 +198,19 @@ class Bound:
     def completed(self) -> DataFrame:
         return clean.completed_rides(self.rides)
 
+    def recent(self, days: int) -> DataFrame:
+        """Valid trips that may have begun at most ``days`` before the reference date, from a scan of their orders only.
+
+        A trip begins less than a day after the time of its order.
+        """
+        first = dt.datetime.fromisoformat(TRIPS_AS_OF) - dt.timedelta(days=days + 1)
+        sources = {s: self._source(s, "trips_raw") for s in VIEWS["trips_raw"][1]}
+        sources["orders"] = sources["orders"].filter(F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
+        return clean.valid_trips(clean.curate(view(self.spark, "trips_raw", sources)))
+
     @property
-    def trips_as_of(self) -> Column:
-        """Latest pickup date of the valid trips, as a scalar subquery."""
-        return self.trips.agg(F.max("pickup_date")).scalar()
+    def trips_as_of(self) -> str:
+        return TRIPS_AS_OF
 
     @property
     def rides_as_of(self) -> str:

@@ -144,3 +144,13 @@ def test_quality_reports(curated, make_zones, make_trips):
     }
     months = rows_of(quality.available_months(curated({}), F.lit("2024-05-20").cast("date")))
     assert [(r["data_year"], r["data_month"]) for r in months] == [(2024, m) for m in range(1, 6)]
+
+
+def test_dated_reports_read_only_the_orders_of_their_days(spark, bound):
+    from conftest import plan_of
+
+    plan = plan_of(business.payment_tips(bound.recent(30), bound.trips_as_of))
+    pushed = [line for line in plan.split("\n") if "o_orderdate" in line and "PushedFilters" in line]
+    assert pushed and all("GreaterThanOrEqual(o_orderdate,2001-07-01" in line for line in pushed)
+    recent = {r["trip_key"] for r in bound.recent(30).filter("pickup_date >= '2001-07-02'").collect()}
+    assert recent == {r["trip_key"] for r in bound.trips.filter("pickup_date >= '2001-07-02'").collect()}
