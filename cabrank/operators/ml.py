@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cabrank.operators import aggregates as a
 
@@ -68,19 +69,68 @@ def fare_model(trips: DataFrame, features=FARE_FEATURES, target: str = "fare_amo
     return Pipeline(stages=stages).fit(trips)
 
 
+def determinant(rows: list[list[Column]]) -> Column:
+    """Determinant of a small matrix of columns, expanded along its first row."""
+    if len(rows) == 1:
+        return rows[0][0]
+    total = F.lit(0.0)
+    for i, value in enumerate(rows[0]):
+        minor = determinant([row[:i] + row[i + 1 :] for row in rows[1:]])
+        total = total + value * minor if i % 2 == 0 else total - value * minor
+    return total
+
+
 def fare_regression(trips: DataFrame, features=FARE_FEATURES, target: str = "fare_amount") -> DataFrame:
-    """Coefficients and fit of the fare model, computed from its predictions on the training rows."""
-    model = fare_model(trips, features, target)
-    line = model.stages[-1]
-    scored = model.transform(trips)
-    residual = F.col(target) - F.col("predicted")
-    fit = scored.agg(
+    """Coefficients and fit of the fare model by the normal equations, from one pass over the trips.
+
+    Covariances are merged from partial results without cancellation, and the few equations are
+    solved by Cramer's rule in the same query. Rows that lack a value are left out; linearly
+    dependent features give null coefficients.
+    """
+    whole = trips.select(*[F.col(n).cast("double").alias(n) for n in (*features, target)]).dropna()
+    names = [*features, target]
+    pairs = [(x, y) for i, x in enumerate(names) for y in names[i:]]
+    sums = whole.agg(
         a.rows("rows_used"),
-        F.sqrt(F.avg(residual * residual)).alias("rmse"),
-        (1 - F.try_divide(F.var_pop(residual), F.var_pop(target))).alias("r2"),
+        *[F.avg(n).alias(f"_mean_{n}") for n in names],
+        *[F.covar_pop(x, y).alias(f"_cov_{x}_{y}") for x, y in pairs],
+    )
+
+    def covariance(x: str, y: str) -> Column:
+        return F.col(f"_cov_{x}_{y}" if (x, y) in pairs else f"_cov_{y}_{x}")
+
+    matrix = [[covariance(x, y) for y in features] for x in features]
+
+    def coefficient(i: int) -> Column:
+        replaced = [row[:i] + [covariance(x, target)] + row[i + 1 :] for x, row in zip(features, matrix)]
+        return F.try_divide(determinant(replaced), determinant(matrix))
+
+    solved = sums.withColumns({f"coef_{n}": coefficient(i) for i, n in enumerate(features)})
+    explained = sum((F.col(f"coef_{n}") * covariance(n, target) for n in features), F.lit(0.0))
+    spread = covariance(target, target)
+    intercept = F.col(f"_mean_{target}") - sum((F.col(f"coef_{n}") * F.col(f"_mean_{n}") for n in features), F.lit(0.0))
+    return solved.select(
+        intercept.alias("intercept"), *[f"coef_{n}" for n in features], "rows_used",
+        F.sqrt(F.greatest(spread - explained, F.lit(0.0))).alias("rmse"), F.try_divide(explained, spread).alias("r2"),
+    )
+
+
+def misplaced(segments: DataFrame, model: PipelineModel) -> DataFrame:
+    """How many rows there are, and how many of them are not with the centre nearest to them (none, in a right result)."""
+    centres = model.stages[-1].clusterCenters()  # k rows
+    scaled = vector_to_array(F.col("_scaled"))
+
+    def distance(centre) -> Column:
+        return F.aggregate(
+            F.zip_with(scaled, F.array(*[F.lit(float(v)) for v in centre]), lambda x, y: (x - y) * (x - y)),
+            F.lit(0.0), lambda total, square: total + square,
+        )
+
+    distances = F.array(*[distance(centre) for centre in centres])
+    own = F.element_at(distances, F.col("cluster") + 1)
+    return model.transform(segments.drop("cluster")).agg(
+        a.rows("row_count"), a.count_where(own > F.array_min(distances) + 1e-9, "misplaced")
     )
-    weights = [F.lit(float(w)).alias(f"coef_{name}") for name, w in zip(features, line.coefficients.toArray())]
-    return fit.select(F.lit(float(line.intercept)).alias("intercept"), *weights, "rows_used", "rmse", "r2")
 
 
 def predict_fares(trips: DataFrame, features=FARE_FEATURES, target: str = "fare_amount") -> DataFrame:

@@ -515,7 +515,51 @@ def profiled(b) -> DataFrame:
 
 
 add("segment_profile", profiled)
-add("fare_regression", lambda b: ml.fare_regression(b.trips))
+
+
+def nearest_centres(b) -> DataFrame:
+    rows = metrics(b)
+    return ml.misplaced(rows, ml.segment_model(rows))
+
+
+# The clusters themselves come from a seeded search; that every driver is with the nearest centre can be checked.
+add("driver_segments_check", nearest_centres,
+    "SELECT count(DISTINCT driver_id) AS row_count, CAST(0 AS BIGINT) AS misplaced FROM completed")
+
+# The rule behind the labels, over clusters that SQL can repeat.
+add("segment_profile_rule", lambda b: ml.segment_profile(metrics(b).withColumn("cluster", (F.col("driver_id") % 4).cast("int"))), """
+WITH m AS (
+  SELECT driver_id, CAST(driver_id % 4 AS INT) AS cluster, count(*) AS total_trips, avg(total_fare) AS avg_fare,
+    avg(customer_rating) AS avg_customer_rating, avg(tips) AS avg_tips, avg(route_efficiency) AS avg_route_efficiency,
+    sum(total_fare) AS total_revenue FROM completed GROUP BY 1),
+p AS (
+  SELECT cluster, avg(total_trips) AS total_trips, avg(avg_fare) AS avg_fare, avg(avg_customer_rating) AS avg_customer_rating,
+    avg(avg_tips) AS avg_tips, avg(avg_route_efficiency) AS avg_route_efficiency, avg(total_revenue) AS total_revenue,
+    count(*) AS driver_count FROM m GROUP BY 1),
+o AS (SELECT avg(total_trips) AS trips, avg(avg_customer_rating) AS rating, avg(avg_tips) AS tips, avg(total_revenue) AS revenue FROM p)
+SELECT p.*, CASE WHEN avg_customer_rating > rating AND avg_tips > tips THEN 'Premium Service'
+  WHEN total_trips > trips THEN 'High Volume Drivers' WHEN total_revenue < revenue THEN 'Underperformers'
+  ELSE 'Standard Performers' END AS segment FROM p CROSS JOIN o
+""", "total_trips avg_fare avg_customer_rating avg_tips avg_route_efficiency total_revenue")
+
+COVARIANCES = """
+SELECT count(*) AS n, avg(pickup_hour) AS m1, avg(pickup_day_of_week) AS m2, avg(trip_distance) AS m3, avg(fare_amount) AS my,
+  var_pop(pickup_hour) AS a, covar_pop(pickup_hour, pickup_day_of_week) AS b, covar_pop(pickup_hour, trip_distance) AS c,
+  var_pop(pickup_day_of_week) AS d, covar_pop(pickup_day_of_week, trip_distance) AS e, var_pop(trip_distance) AS f,
+  covar_pop(pickup_hour, fare_amount) AS y1, covar_pop(pickup_day_of_week, fare_amount) AS y2,
+  covar_pop(trip_distance, fare_amount) AS y3, var_pop(fare_amount) AS yy FROM trips
+"""
+# The inverse of the symmetric matrix ((a, b, c), (b, d, e), (c, e, f)) by its cofactors.
+add("fare_regression", lambda b: ml.fare_regression(b.trips), f"""
+WITH s AS ({COVARIANCES}),
+k AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM s),
+w AS (SELECT *, ((d * f - e * e) * y1 + (c * e - b * f) * y2 + (b * e - c * d) * y3) / det AS w1,
+    ((c * e - b * f) * y1 + (a * f - c * c) * y2 + (b * c - a * e) * y3) / det AS w2,
+    ((b * e - c * d) * y1 + (b * c - a * e) * y2 + (a * d - b * b) * y3) / det AS w3 FROM k)
+SELECT my - w1 * m1 - w2 * m2 - w3 * m3 AS intercept, w1 AS coef_pickup_hour, w2 AS coef_pickup_day_of_week,
+  w3 AS coef_trip_distance, n AS rows_used, sqrt(yy - w1 * y1 - w2 * y2 - w3 * y3) AS rmse,
+  (w1 * y1 + w2 * y2 + w3 * y3) / yy AS r2 FROM w
+""", "intercept coef_pickup_hour coef_pickup_day_of_week coef_trip_distance rmse r2")
 
 HISTOGRAMS = {
     "total_trips": 30, "total_revenue": 30, "avg_customer_rating": 20, "avg_tips": 30, "avg_route_efficiency": 30,

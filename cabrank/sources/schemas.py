@@ -99,17 +99,12 @@ MONTHLY_STATISTICS = schema(
     unique_dropoff_zones bigint, updated_at timestamp"""
 )
 
-# Ride-service model: name -> schema.
+# Ride-service model: name -> schema. The tables that the analyses over rides read.
 RIDE_TABLES: dict[str, str] = {
     "zones": schema(
         """zone_id int not null, zone_name string not null, borough string, area_type string,
         latitude decimal(10,8), longitude decimal(11,8), avg_demand_score decimal(5,2)"""
     ),
-    "vehicles": schema(
-        """vehicle_id int not null, license_plate string not null, make string, model string, year int,
-        vehicle_type string, fuel_type string, seating_capacity int, registration_date date,
-        last_inspection_date date, status string"""
-    ),
     "drivers": schema(
         """driver_id int not null, driver_license string not null, first_name string not null,
         last_name string not null, email string, phone string, hire_date date not null, birth_date date,
@@ -122,15 +117,6 @@ RIDE_TABLES: dict[str, str] = {
         total_spent decimal(12,2), preferred_payment string, home_zone_id int, work_zone_id int, is_active boolean,
         last_trip_date date"""
     ),
-    "driver_shifts": schema(
-        """shift_id int not null, driver_id int, shift_start timestamp not null, shift_end timestamp,
-        start_zone_id int, end_zone_id int, total_trips int, total_distance decimal(10,2),
-        total_earnings decimal(10,2), fuel_cost decimal(10,2), status string"""
-    ),
-    "surge_pricing": schema(
-        """surge_id int not null, zone_id int, surge_multiplier decimal(3,2) not null,
-        start_time timestamp not null, end_time timestamp, reason string, active boolean"""
-    ),
     "rides": schema(
         """ride_id int not null, driver_id int, customer_id int, vehicle_id int, shift_id int,
         pickup_datetime timestamp not null, pickup_zone_id int, pickup_latitude decimal(10,8),
@@ -142,11 +128,6 @@ RIDE_TABLES: dict[str, str] = {
         payment_status string, driver_rating int, customer_rating int, wait_time int, route_efficiency decimal(5,2),
         booking_type string, service_type string, device_type string"""
     ),
-    "trip_payments": schema(
-        """payment_id int not null, trip_id int, payment_method string not null,
-        payment_amount decimal(10,2) not null, payment_datetime timestamp not null, transaction_id string,
-        payment_status string, refund_amount decimal(10,2)"""
-    ),
     "weather_data": schema(
         """weather_id int not null, zone_id int, datetime timestamp not null, temperature decimal(5,2),
         precipitation decimal(5,2), wind_speed decimal(5,2), visibility decimal(5,2), weather_condition string"""

@@ -218,11 +218,3 @@ def tune_for_size(spark: SparkSession, size_gb: float) -> int:
     count = recommended_partitions(size_gb)
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
     return count
-
-
-def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """Size of every Parquet file below a folder, from the listing; the contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    return files.select(name.alias("file_name"), F.col("length").alias("file_bytes"))
-

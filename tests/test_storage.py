@@ -47,7 +47,7 @@ def test_every_schema_can_be_created(spark, tmp_path):
     rides = f"{database}_rides"
     storage.create_database(spark, rides, str(tmp_path / "rides"))
     names += storage.create_ride_tables(spark, rides, str(tmp_path / "rides"))
-    assert len(names) == len(schemas.WAREHOUSE) + 9
+    assert len(names) == len(schemas.WAREHOUSE) + len(schemas.RIDE_TABLES)
     assert all(spark.table(name).count() == 0 for name in names)
     storage.refresh_statistics(spark, names[0])
     for name in (database, rides):
