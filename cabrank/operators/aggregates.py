@@ -24,6 +24,15 @@ def distinct(column: Column | str, name: str, approximate: bool = False) -> Colu
     return (F.approx_count_distinct(column) if approximate else F.countDistinct(column)).alias(name)
 
 
+def distinct_places(column: str, name: str) -> Column:
+    """Exact distinct count of a column that a lookup table or code list bounds, such as location ids.
+
+    The set is no larger than the lookup, so several of them share one pass, while
+    ordinary distinct counts copy every row once per column.
+    """
+    return F.size(F.collect_set(column)).cast("bigint").alias(name)
+
+
 def count_where(condition: Column, name: str) -> Column:
     return F.count_if(condition).alias(name)
 
@@ -105,6 +114,11 @@ def merged_mean(column: str, name: str, weight: Column | None = None) -> Column:
     ).alias(name)
 
 
+def place_cells(trips: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+    """Trips reduced to one row per group and pair of places: counts, and sums of the columns in mergeable form."""
+    return trips.groupBy(*keys, "pickup_location_id", "dropoff_location_id").agg(rows("_n"), *partial_sums(*columns))
+
+
 def growth_percent(now: Column, before: Column, digits: int = 2) -> Column:
     """Change against the previous value in percent; null without one or when it is zero."""
     return c.rounded(c.ratio((now - before) * F.lit(100.0), before), digits)

@@ -22,15 +22,15 @@ def dataset_overview(df: DataFrame) -> DataFrame:
         a.rows("total_trips"),
         F.min("pickup_datetime").alias("earliest_trip"),
         F.max("pickup_datetime").alias("latest_trip"),
-        a.distinct("trip_type", "trip_types"),
+        a.distinct_places("trip_type", "trip_types"),
         a.count_where(F.col("trip_type") == "yellow", "yellow_trips"),
         a.count_where(F.col("trip_type") == "green", "green_trips"),
         a.mean("trip_distance", "avg_distance"),
         a.mean("fare_amount", "avg_fare"),
         a.mean("total_amount", "avg_total"),
         a.mean("tip_amount", "avg_tip"),
-        a.distinct("pickup_location_id", "unique_pickup_zones"),
-        a.distinct("dropoff_location_id", "unique_dropoff_zones"),
+        a.distinct_places("pickup_location_id", "unique_pickup_zones"),
+        a.distinct_places("dropoff_location_id", "unique_dropoff_zones"),
     )
 
 

@@ -204,8 +204,8 @@ def exec_summary(trips: DataFrame) -> DataFrame:
         c.rounded(F.avg("fare_amount"), 2).alias("avg_fare"),
         c.rounded(F.avg("trip_distance"), 2).alias("avg_distance"),
         c.rounded(F.avg("tip_percentage"), 2).alias("avg_tip_pct"),
-        a.distinct("pickup_location_id", "unique_pickup_zones"),
-        a.distinct("dropoff_location_id", "unique_dropoff_zones"),
+        a.distinct_places("pickup_location_id", "unique_pickup_zones"),
+        a.distinct_places("dropoff_location_id", "unique_dropoff_zones"),
         c.rounded(F.avg("trip_speed_mph"), 2).alias("avg_speed_mph"),
     ).select(F.lit("Overall Performance").alias("metric_category"), "*")
 

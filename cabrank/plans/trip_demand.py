@@ -179,8 +179,15 @@ def daily_7day_average(trips: DataFrame, n: int = 7) -> DataFrame:
     return windows.moving_average(days, "pickup_date", "daily_trips", {"avg_7_day": n}, ["trip_type"])
 
 
-def daily_trip_pivot(trips: DataFrame, types) -> DataFrame:
-    """Trips per weekday with one column per trip type."""
-    cells = trips.groupBy("pickup_day_of_week", "trip_type").agg(a.rows())
-    wide = a.pivot(cells, "pickup_day_of_week", "trip_type", list(types), F.sum("trip_count"), 0)
+def weekday_pivot(trips: DataFrame, types, measure: str | None = None) -> DataFrame:
+    """Trips per weekday, or the sum of a measure, with one column per trip type."""
+    cell = a.rows("_value") if measure is None else a.total(measure, "_value")
+    cells = trips.groupBy("pickup_day_of_week", "trip_type").agg(cell)
+    wide = a.pivot(cells, "pickup_day_of_week", "trip_type", list(types), F.sum("_value"), 0)
     return wide.withColumn("day_name", c.day_name()).drop("pickup_day_of_week")
+
+
+def payment_pivot(trips: DataFrame, types) -> DataFrame:
+    """Trips per payment method with one column per trip type."""
+    cells = trips.groupBy(c.payment_method().alias("payment_method"), "trip_type").agg(a.rows())
+    return a.pivot(cells, "payment_method", "trip_type", list(types), F.sum("trip_count"), 0)

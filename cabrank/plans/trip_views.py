@@ -10,16 +10,18 @@ from cabrank.operators.joins import add_zone
 
 
 def daily_trip_stats(trips: DataFrame) -> DataFrame:
-    return trips.groupBy("pickup_date", "trip_type").agg(
-        a.rows(),
-        a.total("total_amount", "total_revenue"),
-        a.mean("trip_distance", "avg_distance"),
-        a.mean("fare_amount", "avg_fare"),
-        a.mean("tip_amount", "avg_tip"),
-        a.mean("trip_duration_minutes", "avg_duration_min"),
-        a.mean("tip_percentage", "avg_tip_pct"),
-        a.distinct("pickup_location_id", "unique_pickup_zones"),
-        a.distinct("dropoff_location_id", "unique_dropoff_zones"),
+    keys = ["pickup_date", "trip_type"]
+    measures = ("total_amount", "trip_distance", "fare_amount", "tip_amount", "trip_duration_minutes", "tip_percentage")
+    return a.place_cells(trips, keys, *measures).groupBy(*keys).agg(
+        a.total("_n", "trip_count"),
+        a.total("_sum_total_amount", "total_revenue"),
+        a.merged_mean("trip_distance", "avg_distance"),
+        a.merged_mean("fare_amount", "avg_fare"),
+        a.merged_mean("tip_amount", "avg_tip"),
+        a.merged_mean("trip_duration_minutes", "avg_duration_min"),
+        a.merged_mean("tip_percentage", "avg_tip_pct"),
+        a.distinct_places("pickup_location_id", "unique_pickup_zones"),
+        a.distinct_places("dropoff_location_id", "unique_dropoff_zones"),
     )
 
 
@@ -70,35 +72,52 @@ def distance_distribution(trips: DataFrame) -> DataFrame:
 
 
 def monthly_statistics(trips: DataFrame) -> DataFrame:
-    return trips.groupBy("pickup_year", "pickup_month", "trip_type").agg(
-        a.rows("total_trips"),
-        a.total("total_amount", "total_revenue"),
-        a.mean("fare_amount", "avg_fare"),
-        a.mean("trip_distance", "avg_distance"),
-        a.mean("tip_percentage", "avg_tip_pct"),
-        a.mean("trip_duration_minutes", "avg_duration"),
-        a.distinct("pickup_location_id", "unique_pickup_zones"),
-        a.distinct("dropoff_location_id", "unique_dropoff_zones"),
+    keys = ["pickup_year", "pickup_month", "trip_type"]
+    measures = ("total_amount", "fare_amount", "trip_distance", "tip_percentage", "trip_duration_minutes")
+    return a.place_cells(trips, keys, *measures).groupBy(*keys).agg(
+        a.total("_n", "total_trips"),
+        a.total("_sum_total_amount", "total_revenue"),
+        a.merged_mean("fare_amount", "avg_fare"),
+        a.merged_mean("trip_distance", "avg_distance"),
+        a.merged_mean("tip_percentage", "avg_tip_pct"),
+        a.merged_mean("trip_duration_minutes", "avg_duration"),
+        a.distinct_places("pickup_location_id", "unique_pickup_zones"),
+        a.distinct_places("dropoff_location_id", "unique_dropoff_zones"),
     )
 
 
-def trip_summary_daily(trips: DataFrame) -> DataFrame:
-    return trips.groupBy(F.col("pickup_date").alias("summary_date")).agg(
-        a.rows("total_trips"),
-        a.total("total_amount", "total_revenue"),
-        a.mean("trip_distance", "avg_trip_distance"),
-        a.mean("fare_amount", "avg_fare_amount"),
-        a.mean("tip_amount", "avg_tip_amount"),
-        a.mean("trip_duration_minutes", "avg_trip_duration"),
-        a.distinct("pickup_location_id", "unique_pickup_zones"),
-        a.distinct("dropoff_location_id", "unique_dropoff_zones"),
-        a.count_where(F.col("trip_type") == "yellow", "yellow_trips"),
-        a.count_where(F.col("trip_type") == "green", "green_trips"),
-        a.count_where(F.col("payment_type") == 2, "cash_trips"),
-        a.count_where(F.col("payment_type") == 1, "card_trips"),
+def daily_partials(trips: DataFrame) -> DataFrame:
+    """Counts and sums per day, type, payment and pair of zones: all a day's summary needs, in mergeable form."""
+    measures = ("total_amount", "trip_distance", "fare_amount", "tip_amount", "trip_duration_minutes")
+    return a.place_cells(trips, ["pickup_date", "trip_type", "payment_type"], *measures)
+
+
+def daily_from_partials(partials: DataFrame) -> DataFrame:
+    """The columns of ``trip_summary_daily``, put together from partial results of any number of batches."""
+
+    def trips_where(condition, name):
+        return F.sum(F.when(condition, F.col("_n")).otherwise(0)).alias(name)
+
+    return partials.groupBy(F.col("pickup_date").alias("summary_date")).agg(
+        a.total("_n", "total_trips"),
+        a.total("_sum_total_amount", "total_revenue"),
+        a.merged_mean("trip_distance", "avg_trip_distance"),
+        a.merged_mean("fare_amount", "avg_fare_amount"),
+        a.merged_mean("tip_amount", "avg_tip_amount"),
+        a.merged_mean("trip_duration_minutes", "avg_trip_duration"),
+        a.distinct_places("pickup_location_id", "unique_pickup_zones"),
+        a.distinct_places("dropoff_location_id", "unique_dropoff_zones"),
+        trips_where(F.col("trip_type") == "yellow", "yellow_trips"),
+        trips_where(F.col("trip_type") == "green", "green_trips"),
+        trips_where(F.col("payment_type") == 2, "cash_trips"),
+        trips_where(F.col("payment_type") == 1, "card_trips"),
     )
 
 
+def trip_summary_daily(trips: DataFrame) -> DataFrame:
+    return daily_from_partials(daily_partials(trips))
+
+
 def trip_summary_hourly(tz: DataFrame) -> DataFrame:
     return tz.groupBy(
         F.col("pickup_date").alias("summary_date"),

@@ -430,3 +430,20 @@ SELECT z.zone AS zone_name, z.borough, count(*) AS trip_count, avg(fare_amount)
 FROM trips t JOIN zones z ON t.pickup_location_id = z.location_id
 WHERE pickup_date >= DATE '1998-01-01' GROUP BY 1, 2 ORDER BY trip_count DESC, 1, 2 LIMIT 10
 """, "avg_fare total_revenue")
+
+# --- wide tables --------------------------------------------------------------
+
+TYPES = ("yellow", "green")
+
+add("weekday_trips_pivot", lambda b: demand.weekday_pivot(b.trips, TYPES), f"""
+SELECT {DAY} AS day_name, count(*) FILTER (trip_type = 'yellow') AS yellow, count(*) FILTER (trip_type = 'green') AS green
+FROM trips GROUP BY 1
+""")
+add("weekday_revenue_pivot", lambda b: demand.weekday_pivot(b.trips, TYPES, "total_amount"), f"""
+SELECT {DAY} AS day_name, coalesce(sum(total_amount) FILTER (trip_type = 'yellow'), 0) AS yellow,
+  coalesce(sum(total_amount) FILTER (trip_type = 'green'), 0) AS green FROM trips GROUP BY 1
+""", "yellow green")
+add("payment_trips_pivot", lambda b: demand.payment_pivot(b.trips, TYPES), f"""
+SELECT {PAYMENT} AS payment_method, count(*) FILTER (trip_type = 'yellow') AS yellow,
+  count(*) FILTER (trip_type = 'green') AS green FROM trips GROUP BY 1
+""")

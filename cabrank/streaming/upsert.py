@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cabrank.functions import columns as c
-from cabrank.operators import aggregates as a
 from cabrank.operators.clean import since_moment
 from cabrank.plans.ride_demand import active_monitor
+from cabrank.plans.trip_views import daily_from_partials, daily_partials
 
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
@@ -30,36 +30,6 @@ def append_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 # --- daily summary ----------------------------------------------------------
 
-MEASURES = ("total_amount", "trip_distance", "fare_amount", "tip_amount", "trip_duration_minutes")
-
-
-def daily_partials(trips: DataFrame) -> DataFrame:
-    """Counts and sums per day, type, payment and pair of zones: all a day's summary needs, in mergeable form."""
-    cell = trips.groupBy("pickup_date", "trip_type", "payment_type", "pickup_location_id", "dropoff_location_id")
-    return cell.agg(a.rows("_n"), *a.partial_sums(*MEASURES))
-
-
-def daily_from_partials(partials: DataFrame) -> DataFrame:
-    """The columns of ``trip_summary_daily``, put together from partial results of any number of batches."""
-
-    def trips_where(condition, name):
-        return F.sum(F.when(condition, F.col("_n")).otherwise(0)).alias(name)
-
-    return partials.groupBy(F.col("pickup_date").alias("summary_date")).agg(
-        a.total("_n", "total_trips"),
-        a.total("_sum_total_amount", "total_revenue"),
-        a.merged_mean("trip_distance", "avg_trip_distance"),
-        a.merged_mean("fare_amount", "avg_fare_amount"),
-        a.merged_mean("tip_amount", "avg_tip_amount"),
-        a.merged_mean("trip_duration_minutes", "avg_trip_duration"),
-        a.distinct("pickup_location_id", "unique_pickup_zones"),
-        a.distinct("dropoff_location_id", "unique_dropoff_zones"),
-        trips_where(F.col("trip_type") == "yellow", "yellow_trips"),
-        trips_where(F.col("trip_type") == "green", "green_trips"),
-        trips_where(F.col("payment_type") == 2, "cash_trips"),
-        trips_where(F.col("payment_type") == 1, "card_trips"),
-    )
-
 
 def stream_daily_upsert(trips: DataFrame, path: str, checkpoint: str) -> None:
     """Refresh the daily summary of the months that arriving valid trips belong to.

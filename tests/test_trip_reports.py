@@ -154,3 +154,10 @@ def test_dated_reports_read_only_the_orders_of_their_days(spark, bound):
     assert pushed and all("GreaterThanOrEqual(o_orderdate,2001-07-01" in line for line in pushed)
     recent = {r["trip_key"] for r in bound.recent(30).filter("pickup_date >= '2001-07-02'").collect()}
     assert recent == {r["trip_key"] for r in bound.trips.filter("pickup_date >= '2001-07-02'").collect()}
+
+
+def test_distinct_counts_do_not_copy_rows(bound):
+    from conftest import plan_of
+
+    for report in (views.daily_trip_stats, views.monthly_statistics, views.trip_summary_daily, business.exec_summary, quality.dataset_overview):
+        assert "Expand" not in plan_of(report(bound.trips))
