@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from cabrank.operators import joins, sizing
@@ -69,3 +71,22 @@ def test_spread_only_touches_small_inputs(bound):
     assert "Exchange" not in plan_of(sizing.spread_small(unknown, "o_orderkey"))
     assert sizing.output_tasks(orders) == sizing.output_tasks(unknown) == 4
     assert sizing.scanned_bytes(unknown) is None
+
+
+def test_crowded_key_of_a_left_join_can_be_split(spark):
+    left = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z"), (2, "again")], "k int, l string")
+    right = spark.createDataFrame([(1, i) for i in range(500)] + [(3, 0), (None, 1)], "k int, r int")
+    joined = joins.left_outer(left, right, "k")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, left.join(right, "k", "left").collect()))
+    assert "LeftOuter" not in plan_of(joined)
+
+
+def test_rows_of_the_same_hour_are_joined(spark):
+    at = lambda text: dt.datetime.fromisoformat(f"2024-01-01 {text}")
+    rides = spark.createDataFrame([(1, at("08:05"), "a"), (1, at("09:00"), "b"), (2, at("08:30"), "c")], "zone int, t timestamp, ride string")
+    reports = spark.createDataFrame([(1, at("08:59"), "r"), (1, at("08:00"), "s"), (2, at("10:00"), "t")], "zone int, t timestamp, report string")
+    names = lambda how: sorted(
+        (r["ride"], r["report"] or "") for r in joins.time_bucket_join(rides, reports.withColumnRenamed("t", "u"), ["zone"], "t", "u", how).collect()
+    )
+    assert names("inner") == [("a", "r"), ("a", "s")]
+    assert names("left") == [("a", "r"), ("a", "s"), ("b", ""), ("c", "")]

@@ -11,7 +11,8 @@ NAMES = (
     "hourly_demand_by_dow", "top_pickup_zones", "borough_flows", "airport_by_airport", "payment_tips",
     "speed_by_borough_hour", "route_efficiency", "benchmarks", "zone_reference_check", "fare_zscore_by_type",
     "hourly_zone_demand", "surge_opportunities", "weather_impact", "top_drivers", "at_risk_performers",
-    "profitable_routes", "customer_ltv", "customer_churn", "ride_patterns", "zone_heatmap", "constraint_checks",
+    "zone_popularity", "daily_trip_stats", "monthly_statistics", "left_outer", "time_bucket_join_left", "fare_percentiles",
+    "fare_regression", "profitable_routes", "customer_ltv", "customer_churn", "ride_patterns", "zone_heatmap", "constraint_checks",
 )
 
 
