@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cabrank.sources import storage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -14,12 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def saved(df: DataFrame) -> DataFrame:
     """The frame computed once and kept in the folder of spark.checkpoint.dir, which every executor can read.
 
-    Only a session without that setting, as in tests, gets a folder of its own.
+    Only a local session without that setting, as in tests, gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(storage.shared_folder(spark))
     return df.checkpoint()
 
 
