@@ -33,9 +33,6 @@ SHARD, LEAST_SHARD = 65_536, 4_096
 BLOCK = 16_384
 EXACT = 2**53
 FOUND = "query_row long, query_id long, kth long, row long, vec_id long, score long"
-#: Stands for a null vec_id, which comes last.
-NO_ID = np.iinfo(np.int64).max
-
 
 class Tree:
     """Points in boxes; a node is a slice of ``order`` with the tight bounds of its points."""
@@ -66,8 +63,11 @@ class Tree:
         self.low, self.high = np.array(lows), np.array(highs)
         self.points = points[self.order]
 
-    def search(self, query: np.ndarray, ids: np.ndarray, k: int, kth, own: int) -> list[tuple]:
-        """(score, id, place) of the k best points whose score is not below ``kth``; ``own`` is left out."""
+    def search(self, query: np.ndarray, order: np.ndarray, k: int, kth, own: int) -> list[tuple]:
+        """(score, order, place) of the k best points whose score is not below ``kth``; ``own`` is left out.
+
+        ``order`` numbers the points as equal scores are to be ranked.
+        """
         bounds = np.maximum(query, 0) @ self.high.T + np.minimum(query, 0) @ self.low.T
         best: list[tuple] = []
         heap = [(-bounds[0], 0)]
@@ -85,7 +85,7 @@ class Tree:
             if not len(at):
                 continue
             places = self.order[start + at]
-            new = [(s, i, p) for s, i, p in zip(scores[at].tolist(), ids[places].tolist(), places.tolist()) if p != own]
+            new = [(s, i, p) for s, i, p in zip(scores[at].tolist(), order[places].tolist(), places.tolist()) if p != own]
             best = heapq.nsmallest(k, best + new, key=lambda x: (-x[0], x[1]))
             if len(best) == k:
                 kth = max(kth, best[-1][0])
@@ -115,12 +115,14 @@ def search_shard(queries: pd.DataFrame, points: pd.DataFrame, k: int, leaf: int
         held, asked = exact_types(matrix(points["v"]), matrix(queries["v"]))
         tree = Tree(held, leaf)
         place = {row: i for i, row in enumerate(points["row"].tolist())}
-        ids, numbers = points["vec_id"].fillna(NO_ID).astype(np.int64).to_numpy(), points["row"].to_numpy()
+        known, ids, numbers = (points[c].to_numpy() for c in ("known", "vec_id", "row"))
+        order = np.empty(len(points), np.int64)
+        order[np.lexsort((numbers, ids, ~known))] = np.arange(len(points))
         for query, number, query_id, kth in zip(asked, queries["query_row"], queries["query_id"], queries["kth"]):
-            known = -math.inf if kth == -(2**63) else int(kth)
-            best = tree.search(query, ids, k, known, place.get(number, -1))
+            least = -math.inf if kth == -(2**63) else int(kth)
+            best = tree.search(query, order, k, least, place.get(number, -1))
             kth = max(kth, clamp(best[-1][0])) if len(best) == k else kth
-            rows += [(number, query_id, kth, numbers[p], None if i == NO_ID else i, clamp(s)) for s, i, p in best]
+            rows += [(number, query_id, kth, numbers[p], ids[p] if known[p] else None, clamp(s)) for s, _, p in best]
     return pd.DataFrame(rows, columns=["query_row", "query_id", "kth", "row", "vec_id", "score"]).astype({"vec_id": "Int64"})
 
 
@@ -149,7 +151,10 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SC
     shards = max(1, math.ceil(n / shard), min(spark.sparkContext.defaultParallelism, math.ceil(n / LEAST_SHARD)))
     blocks = max(1, math.ceil(asked / BLOCK))
     vectors = vectors.select("row", "vec_id", "v", F.size("v").alias("d"), F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"))
-    points = vectors.withColumn("block", F.explode(numbers(blocks)))
+    # A null vec_id becomes a flag: pandas would turn the whole column into floating-point numbers.
+    points = vectors.withColumns(
+        {"block": F.explode(numbers(blocks)), "known": F.col("vec_id").isNotNull(), "vec_id": F.coalesce("vec_id", F.lit(0))}
+    )
     queries = vectors.where(asking).select(
         F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), *[F.col(c).alias(c) for c in ("v", "d", "shard")],
         F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).alias("block"),

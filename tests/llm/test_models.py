@@ -44,7 +44,7 @@ def test_top_k(spark, monkeypatch, shard, leaf):
 
 
 def test_scores_beyond_doubles_are_exact():
-    points = pd.DataFrame({"row": [0, 1, 2], "vec_id": [0, 1, 2], "v": [[2**40 + 1, 1], [2**40, 2], [3, 2**20 + 1]]})
+    points = pd.DataFrame({"row": [0, 1, 2], "vec_id": [0, 1, 2], "known": [True] * 3, "v": [[2**40 + 1, 1], [2**40, 2], [3, 2**20 + 1]]})
     queries = pd.DataFrame({"query_row": [0], "query_id": [0], "kth": [-(2**63)], "v": [[2**20 + 1, 2**21 + 3]]})
     found = topk.search_shard(queries, points, 2)
     a, b = (2**20 + 1, 2**21 + 3), [(2**40, 2), (3, 2**20 + 1)]
