@@ -87,38 +87,37 @@ def open_masks(bits: list[int], blocks: int, distance: int) -> list[int]:
     return [sum(chosen) for chosen in itertools.combinations(parts, distance)]
 
 
+def finer(mask: int, distance: int) -> list[int]:
+    """Open masks of the second cut, which cuts the bits left open by the first into pairs."""
+    bits = [i for i in range(64) if mask >> i & 1]
+    return open_masks(bits, len(bits) // 2, distance)
+
+
 def links(classes: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, crowd: int = CROWD) -> DataFrame:
     """Pairs a < b of the fingerprints in column ``fp`` (distinct) that differ in at most ``distance`` bits."""
     masks = open_masks(list(range(64)), blocks, distance)
+    inner = [(signed(m), signed(o)) for m in masks for o in finer(m, distance)]
+    rest = F.col("fp").bitwiseAND(F.bitwise_not("open")).alias("rest")
 
-    def fixed(opened: list[int]):
-        cases = [F.struct(F.lit(signed(m)).alias("cut"), F.col("fp").bitwiseAND(F.lit(~signed(m))).alias("rest")) for m in opened]
-        return F.inline(F.array(*cases))
-
-    keyed = saved(classes.select("fp").select("fp", fixed(masks)))
-    buckets = keyed.groupBy("cut", "rest").agg(F.count("*").alias("members")).where("members > 1")
-    members = saved(keyed.join(saved(buckets), ["cut", "rest"]))
+    keyed = classes.select("fp", F.explode(F.array(*[F.lit(signed(m)) for m in masks])).alias("open")).select("fp", "open", rest)
+    bucket = Window.partitionBy("open", "rest")
+    members = saved(keyed.withColumn("members", F.count("*").over(bucket)).where("members > 1"))
 
-    def compared(rows: DataFrame, *keys: str) -> DataFrame:
-        others = rows.select(*keys, F.col("fp").alias("b"))
+    def compared(rows: DataFrame) -> DataFrame:
+        """Pairs of one bucket; no bucket has more members than ``crowd`` or 4 ** distance."""
+        others = rows.select("open", "rest", F.col("fp").alias("b"))
         return (
-            rows.select(*keys, F.col("fp").alias("a"))
-            .join(others, list(keys))
+            rows.select("open", "rest", F.col("fp").alias("a"))
+            .join(others, ["open", "rest"])
             .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
             .select("a", "b")
         )
 
-    few = compared(members.where(F.col("members") <= crowd), "cut", "rest")
-    many = members.where(F.col("members") > crowd).select("fp", "cut")
-    again = []
-    for mask in masks:
-        bits = [i for i in range(64) if mask >> i & 1]
-        rows = many.where(F.col("cut") == signed(mask)).select("fp", fixed(open_masks(bits, len(bits) // 2, distance)))
-        again.append(rows)
-    # The second cut fixes every bit outside ``cut``, so the same bucket may come from several first cuts.
-    for rows in again[1:]:
-        again[0] = again[0].union(rows)
-    return few.union(compared(again[0].distinct(), "cut", "rest")).distinct()
+    # A constant table: the second cuts of each first cut. Different first cuts may share a second one.
+    cuts = classes.sparkSession.createDataFrame(inner, "first long, open long")
+    crowded = members.where(F.col("members") > crowd).select("fp", F.col("open").alias("first"))
+    again = crowded.join(F.broadcast(cuts), "first").select("fp", "open", rest).distinct()
+    return compared(members.where(F.col("members") <= crowd)).union(compared(again)).distinct()
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
