@@ -10,7 +10,9 @@ rank gives, and no place is tried again once it is known to lead nowhere, so the
 work is linear in the length of a piece, however long.
 
 Each match of the pattern is encoded on its own, and one that is itself a token
-stays whole. Null texts count as empty. Repeated rows and null doc_ids keep their
+stays whole. Texts are taken apart into segments first, which repeat more than texts do:
+``segment`` must cover the text without cutting a match, as the default does for patterns
+that never pass from a character that is not white space to one that is. Null texts count as empty. Repeated rows and null doc_ids keep their
 rows; an empty table gives an empty result; further columns are left alone.
 """
 
@@ -19,21 +21,30 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 import sys
 from array import array
+from collections.abc import Iterator
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cabrank.llm.common import text_of
+from cabrank.llm.token_counts import SEGMENT
 
-#: Bytes whose matches are looked up at a time, and pieces and pairs that a worker remembers.
+#: Bytes whose matches are looked up at a time.
 WINDOW = 4096
-REMEMBERED_PIECES = 300_000
-REMEMBERED_PAIRS = 1_000_000
+#: Segments, pieces and pairs of tokens that a worker remembers at most; together about 100 MB.
+REMEMBERED_SEGMENTS = 100_000
+REMEMBERED_PIECES = 150_000
+REMEMBERED_PAIRS = 200_000
+#: Tokens and documents in a batch of results, about.
+TOKENS_OUT, ROWS_OUT = 1 << 19, 2_000
 NEVER = sys.maxsize
 
 
@@ -48,21 +59,32 @@ def merge(data: bytes, ranks: dict[bytes, int], until: int = 1) -> list[bytes]:
     return pieces
 
 
+def trim(remembered: dict, most: int) -> None:
+    """Forgets the older half of what is remembered once it is too much."""
+    if len(remembered) >= most:
+        for key in list(islice(remembered, len(remembered) // 2)):
+            del remembered[key]
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; made once per worker."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, segment: str | None = None):
         self.ranks = ranks
         self.tokens = {i: token for token, i in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self.lengths = {i: len(token) for token, i in ranks.items()}
+        self.longest = max(self.lengths.values())
         self.split = regex.compile(pattern).findall
         self.matcher = ahocorasick.Automaton()
         for token, i in ranks.items():
-            self.matcher.add_word(token.decode("latin-1"), (len(token), i))
+            self.matcher.add_word(token.decode("latin-1"), (len(token) - 1, i))
         self.matcher.make_automaton()
-        self.compatible = functools.lru_cache(REMEMBERED_PAIRS)(self._compatible)
         self.edges = functools.lru_cache(len(ranks))(self._edges)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.shorter = functools.lru_cache(len(ranks))(self._shorter)
+        self.segment = re.compile(segment).findall if segment else lambda text: [text]
+        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.segments: dict[str, tuple[int, ...]] = {}
 
     def _edges(self, token: int) -> tuple[list, list] | None:
         """What stands at the left and at the right end of a token while it is merged, each with the rank that ends it.
@@ -81,6 +103,13 @@ class Codec:
         ended = lambda edge: [*edge[:-1], (edge[-1][0], token), (data, NEVER)]
         return ended(first[0]), ended(last[1])
 
+    def compatible(self, left: int, right: int) -> bool:
+        found = self.pairs.get((left, right))
+        if found is None:
+            trim(self.pairs, REMEMBERED_PAIRS)
+            found = self.pairs[left, right] = self._compatible(left, right)
+        return found
+
     def _compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens never joins what meets between them.
 
@@ -100,65 +129,88 @@ class Codec:
             begins = a_ends
         return True
 
-    def _candidates(self, text: str, start: int) -> list[list[int]]:
-        """For each place of a window the tokens that begin there, the shortest first."""
-        size = min(WINDOW, len(text) - start)
-        found: list[list[int]] = [[] for _ in range(size)]
-        end = min(len(text), start + size + self.longest)
-        for last, (length, token) in self.matcher.iter(text, start, end):
-            at = last - length + 1 - start
-            if at < size:
-                found[at].append(token)
+    def _shorter(self, token: int) -> int | None:
+        """The longest token that this one begins with, other than itself."""
+        data = self.tokens[token]
+        prefixes = (self.ranks.get(data[:n]) for n in range(len(data) - 1, 0, -1))
+        return next((t for t in prefixes if t is not None), None)
+
+    def _longest(self, text: str, start: int) -> list[int]:
+        """The longest token at each place of a window; places behind the window may have shorter ones."""
+        end = min(len(text), start + WINDOW + self.longest)
+        found = [-1] * (end - start)
+        # Matches come in the order of their ends, so the longest one at a place is the last.
+        for last, (before, token) in self.matcher.iter(text, start, end):
+            found[last - before - start] = token
         return found
 
     def backtrack(self, data: bytes) -> list[int]:
-        """The tokens of one piece."""
-        text, n, tokens = data.decode("latin-1"), len(data), self.tokens
-        windows: dict[int, list[list[int]]] = {}
+        """The tokens of one piece, which is not empty."""
+        text, n, lengths, pairs = data.decode("latin-1"), len(data), self.lengths, self.pairs
+        windows: dict[int, list[int]] = {}
+        start, found = 0, self._longest(text, 0)
         dead = bytearray(n + 1)
         out: list[int] = []
-        # For each token taken: how many of the shorter ones are left to try at its place.
-        left: list[int] = []
-        at, untried = 0, -1
-        while at < n:
-            start = at - at % WINDOW
-            found = windows.get(start)
-            if found is None:
-                if len(windows) >= 4:
-                    windows.clear()
-                found = windows[start] = self._candidates(text, start)
-            choices = found[at - start]
-            if untried < 0:
-                untried = len(choices)
-            while untried:
-                untried -= 1
-                token = choices[untried]
-                end = at + len(tokens[token])
-                if not dead[end] and (self.compatible(out[-1], token) if out else self.edges(token) is not None):
-                    out.append(token)
-                    left.append(untried)
-                    at, untried = end, -1
-                    break
+        at, token = 0, found[0]
+        while True:
+            end = at + lengths[token]
+            if dead[end]:
+                fits = False
+            elif not out:
+                fits = self.edges(token) is not None
             else:
+                fits = pairs.get((out[-1], token))
+                if fits is None:
+                    fits = self.compatible(out[-1], token)
+            if fits:
+                out.append(token)
+                at = end
+                if at == n:
+                    return out
+                if not start <= at < start + WINDOW:
+                    start, found = self._window(text, at, windows)
+                token = found[at - start]
+                continue
+            token = self.shorter(token)
+            while token is None:
                 dead[at] = 1
-                at -= len(tokens[out.pop()])
-                untried = left.pop()
-        return out
+                token = out.pop()
+                at -= lengths[token]
+                token = self.shorter(token)
+            if not start <= at < start + WINDOW:
+                start, found = self._window(text, at, windows)
+
+    def _window(self, text: str, at: int, windows: dict[int, list[int]]) -> tuple[int, list[int]]:
+        """The window of a place; the last few are kept for steps back."""
+        start = at - at % WINDOW
+        if start not in windows:
+            trim(windows, 4)
+            windows[start] = self._longest(text, start)
+        return start, windows[start]
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        found = self.pieces.get(piece)
+        if found is None:
+            data = piece.encode("utf-8")
+            whole = self.ranks.get(data)
+            found = tuple(self.backtrack(data)) if whole is None else (whole,)
+            if len(piece) <= 64:
+                trim(self.pieces, REMEMBERED_PIECES)
+                self.pieces[piece] = found
+        return found
 
     def encode(self, text: str) -> array:
         """The ids of a whole text."""
-        ids, known = array("I"), self.known
-        for piece in self.split(text):
-            tokens = known.get(piece)
-            if tokens is None:
-                data = piece.encode("utf-8")
-                whole = self.ranks.get(data)
-                tokens = self.backtrack(data) if whole is None else [whole]
-                if len(piece) <= 64:
-                    if len(known) >= REMEMBERED_PIECES:
-                        known.clear()
-                    known[piece] = tuple(tokens)
-            ids.extend(tokens)
+        segments, known, long = self.segment(text), self.segments, {}
+        for segment in set(segments).difference(known):
+            tokens = tuple(chain.from_iterable(map(self._piece, self.split(segment))))
+            (known if len(segment) <= 64 else long)[segment] = tokens
+        if long:
+            found = (known.get(s) or long[s] for s in segments)
+        else:
+            found = map(known.__getitem__, segments)
+        ids = array("I", chain.from_iterable(found))
+        trim(known, REMEMBERED_SEGMENTS)
         return ids
 
     def decode(self, ids: array) -> bytes:
@@ -166,10 +218,10 @@ class Codec:
 
 
 @functools.lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, segment: str | None = SEGMENT.pattern) -> Codec:
     """The codec of a file of ranks; a worker builds it once."""
     with open(path, "rb") as lines:
-        return Codec({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}, pattern)
+        return Codec({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}, pattern, segment)
 
 
 def little(ids: array) -> bytes:
@@ -179,52 +231,78 @@ def little(ids: array) -> bytes:
     return ids.tobytes()
 
 
-def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """One row per document: doc_id and ids (the tokens of the text)."""
+class Packer:
+    """Collects the results of documents and hands them on in batches of bounded size."""
+
+    def __init__(self, with_ids: bool):
+        self.with_ids = with_ids
+        self.doc_ids: list[pa.Scalar] = []
+        self.ids = array("I")
+        self.rows: list[tuple[int, str, str]] = []
+
+    def add(self, doc_id: pa.Scalar, ids: array, decoded: bytes) -> None:
+        self.doc_ids.append(doc_id)
+        self.rows.append((len(ids), hashlib.sha256(little(ids)).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        if self.with_ids:
+            self.ids.extend(ids)
+
+    def full(self) -> bool:
+        return len(self.ids) >= TOKENS_OUT or len(self.rows) >= ROWS_OUT
+
+    def batch(self, kind: pa.DataType) -> pa.RecordBatch:
+        """What was collected, which is then forgotten."""
+        sizes, *digests = zip(*self.rows)
+        columns = {"doc_id": pa.array([i.as_py() for i in self.doc_ids], kind)}
+        if self.with_ids:
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.array(self.ids, np.int32)))
+        columns["n_tokens"] = pa.array(sizes, pa.int64())
+        columns |= {name: pa.array(values, pa.string()) for name, values in zip(("ids_sha256", "decoded_sha256"), digests)}
+        self.__init__(self.with_ids)
+        return pa.RecordBatch.from_pydict(columns)
+
+
+def _checked(documents: DataFrame, path: str, pattern: str, with_ids: bool) -> DataFrame:
+    listed = [T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
+    found = [T.StructField("n_tokens", T.LongType()), *(T.StructField(n, T.StringType()) for n in ("ids_sha256", "decoded_sha256"))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, packer = codec(path, pattern), Packer(with_ids)
+        for batch in batches:
+            kind = batch.column(0).type
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                ids = own.encode(text.as_py())
+                packer.add(doc_id, ids, own.decode(ids))
+                if packer.full():
+                    yield packer.batch(kind)
+            if packer.rows:
+                yield packer.batch(kind)
+
+    schema = T.StructType([documents.schema["doc_id"], *listed, *found])
+    return documents.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        own = codec(path, pattern)
-        return pd.Series([list(own.encode(t)) for t in texts], dtype=object)
 
-    return documents.select("doc_id", ids(text_of()).alias("ids"))
+def encoded_and_checked(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """One row per document: doc_id, ids, n_tokens, and digests of the ids and of the bytes they decode to."""
+    return _checked(documents, path, pattern, with_ids=True)
+
+
+def round_trip(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """The same without the ids, which then stay in the Python workers."""
+    return _checked(documents, path, pattern, with_ids=False)
+
+
+def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """One row per document: doc_id and ids (the tokens of the text)."""
+    return encoded_and_checked(documents, path, pattern).select("doc_id", "ids")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id and text; the inverse of ``encode``. Null ids give a null text."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def texts(ids: pd.Series) -> pd.Series:
         own = codec(path, pattern)
         return pd.Series([None if i is None else own.decode(i).decode("utf-8", "replace") for i in ids], dtype=object)
 
     return encoded.select("doc_id", texts("ids").alias("text"))
-
-
-def checked(own: Codec, text: str) -> tuple:
-    """ids, their number, and the digests of the ids and of the bytes they decode to."""
-    ids = own.encode(text)
-    return ids, len(ids), hashlib.sha256(little(ids)).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()
-
-
-def encoded_and_checked(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """One row per document: doc_id, ids, n_tokens, and digests of the ids and of the bytes they decode to."""
-
-    @F.pandas_udf("ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def coded(texts: pd.Series) -> pd.DataFrame:
-        own = codec(path, pattern)
-        rows = [(np.array(ids, np.int32), *rest) for ids, *rest in (checked(own, text) for text in texts)]
-        return pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return documents.select("doc_id", coded(text_of()).alias("found")).select("doc_id", "found.*")
-
-
-def round_trip(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The same without the ids, which then stay in the Python workers."""
-
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digests(texts: pd.Series) -> pd.DataFrame:
-        own = codec(path, pattern)
-        return pd.DataFrame([checked(own, text)[1:] for text in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return documents.select("doc_id", digests(text_of()).alias("found")).select("doc_id", "found.*")

@@ -15,6 +15,7 @@ empty table gives an empty result; further columns are left alone.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -31,7 +32,7 @@ SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 SAFE = re.compile(f"[^{WHITE}](?=[{WHITE}])")
 #: Characters of text in a batch, and segments whose length is remembered.
 BATCH = 1 << 20
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LIMIT = 1024
 
 
@@ -80,7 +81,8 @@ def counts(texts: list[str], path: str, size: int = BATCH, remembered: int = REM
     for batch in batches(texts, size):
         cut = [(number, SEGMENT.findall(part)) for number, part in batch]
         if len(known) > remembered:
-            known.clear()
+            for segment in list(itertools.islice(known, len(known) // 2)):
+                del known[segment]
         new = list({s for _, segments in cut for s in segments if s not in known})
         known.update(zip(new, map(len, tokenizer.encode_batch_fast(new, add_special_tokens=False))))
         for number, segments in cut:

@@ -36,7 +36,8 @@ def library(own):
 @pytest.mark.parametrize("window", [3, 4096])
 def test_encoding_is_that_of_the_library(own, library, monkeypatch, window):
     monkeypatch.setattr(bpe, "WINDOW", window)
-    own.known.clear()
+    own.pieces.clear()
+    own.segments.clear()
     texts = TEXTS + [SPECIAL] if window > 3 else [t[:300] for t in TEXTS]
     for text in texts:
         ids = own.encode(text)
@@ -44,6 +45,15 @@ def test_encoding_is_that_of_the_library(own, library, monkeypatch, window):
         assert own.decode(ids) == text.encode()
 
 
+def test_little_is_remembered(own, library, monkeypatch):
+    for name in ("SEGMENTS", "PIECES", "PAIRS"):
+        monkeypatch.setattr(bpe, f"REMEMBERED_{name}", 5)
+        getattr(own, name.lower()).clear()
+    for text in RANDOM[:100] + [RANDOM[0] * 50]:
+        assert list(own.encode(text)) == library.encode_ordinary(text)
+    assert max(map(len, (own.pieces, own.pairs))) <= 5
+
+
 def test_pairs_are_compatible_if_merging_leaves_them(own):
     rnd = random.Random(2)
     for _ in range(20000):
