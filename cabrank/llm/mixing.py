@@ -35,8 +35,8 @@ SHARE, CAP = 1.5, 2.0
 #: Documents of a cell at most, about.
 CELL = 50_000
 STEPS, EXACT = 60, 1e-9
-#: Sources are broadcast up to this number, which is counted before.
-BROADCAST_SOURCES = 50_000
+#: Sources and crowded cells are broadcast up to these numbers; they are counted before.
+BROADCAST_SOURCES, BROADCAST_CELLS = 50_000, 200_000
 
 
 def words_of(name: str = "text") -> Column:
@@ -162,8 +162,11 @@ def mix(
     tilted = tilts(cells, goals, cap)
     crowded = saved(cells.where(F.col("n") > CELL).select("key", "size", F.ceil(F.col("n") / CELL).alias("parts")))
 
+    # One row for at least CELL documents, so mostly none; rows then need not be moved to find their part.
+    listed = F.broadcast(crowded) if crowded.count() <= BROADCAST_CELLS else crowded
+
     def parted(rows: DataFrame, key: str, size: str, order: str, part: str) -> DataFrame:
-        parts = crowded.toDF(key, size, part)
+        parts = listed.toDF(key, size, part)
         return rows.join(parts, [key, size], "left").withColumn(part, F.coalesce(F.pmod(order, part), F.lit(0).cast("long")))
 
     rate = F.least(F.exp(F.least(F.col("tilt") * F.col("size") / F.col("mean"), F.lit(50.0))), F.lit(cap))
