@@ -213,6 +213,11 @@ class Codec:
         trim(known, REMEMBERED_SEGMENTS)
         return ids
 
+    def forget(self) -> None:
+        """Gives back the memory of what was remembered; a worker may live on in stages that need it for other things."""
+        for remembered in (self.segments, self.pieces, self.pairs):
+            remembered.clear()
+
     def decode(self, ids: array) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -268,15 +273,19 @@ def _checked(documents: DataFrame, path: str, pattern: str, with_ids: bool) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, packer = codec(path, pattern), Packer(with_ids)
-        for batch in batches:
-            kind = batch.column(0).type
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = own.encode(text.as_py())
-                packer.add(doc_id, ids, own.decode(ids))
-                if packer.full():
+        try:
+            for batch in batches:
+                kind = batch.column(0).type
+                for doc_id, text in zip(batch.column(0), batch.column(1)):
+                    ids = own.encode(text.as_py())
+                    packer.add(doc_id, ids, own.decode(ids))
+                    if packer.full():
+                        yield packer.batch(kind)
+                if packer.rows:
                     yield packer.batch(kind)
-            if packer.rows:
-                yield packer.batch(kind)
+        finally:
+            own.forget()
+            pa.default_memory_pool().release_unused()
 
     schema = T.StructType([documents.schema["doc_id"], *listed, *found])
     return documents.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
