@@ -176,7 +176,8 @@ def scored(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
 
 def accepted(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with their own columns; scored where they are read."""
-    model = learned(documents.select("doc_id", described(text_of()).alias("x")), labels)
+    # Kept, so that no task runs two Python workers, one for the statistics and one for their sums.
+    model = learned(saved(documents.select("doc_id", described(text_of()).alias("x"))), labels)
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: pd.Series) -> pd.Series:
