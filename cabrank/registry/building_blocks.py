@@ -575,13 +575,19 @@ FROM (SELECT CAST(least(floor(({name} - lo) / (hi - lo) * {bins}), {bins - 1}) A
     FROM (SELECT min({name})::DOUBLE AS a, max({name})::DOUBLE AS b FROM m))) GROUP BY bin"""
 
 
-add("histogram", lambda b: ml.histogram(metrics(b), HISTOGRAMS), """
+MEASURED = """
 WITH m AS (
   SELECT driver_id, count(*) AS total_trips, sum(total_fare) AS total_revenue, avg(customer_rating) AS avg_customer_rating,
     avg(tips) AS avg_tips, avg(route_efficiency) AS avg_route_efficiency,
     sum(total_fare) / greatest(sum(trip_distance), 1) AS revenue_per_mile
   FROM completed GROUP BY 1)
-""" + "\nUNION ALL\n".join(histogram_sql(name, bins) for name, bins in HISTOGRAMS.items()), "bin_start bin_end")
+"""
+add("histogram", lambda b: ml.histogram(metrics(b), HISTOGRAMS), MEASURED + "\nUNION ALL\n".join(histogram_sql(name, bins) for name, bins in HISTOGRAMS.items()), "bin_start bin_end")
+
+# The medians that are drawn into the histograms.
+add("histogram_medians", lambda b: percentiles.grouped(metrics(b), [], [], {f"median_{n}": (n, 0.5) for n in HISTOGRAMS}),
+    MEASURED + "SELECT " + ", ".join(f"quantile_cont({n}::DOUBLE, 0.5) AS median_{n}" for n in HISTOGRAMS) + " FROM m",
+    " ".join(f"median_{n}" for n in HISTOGRAMS))
 
 # --- data quality -----------------------------------------------------------
 
