@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cabrank.llm.common import saved, spare, text_of
 from cabrank.llm.components import connected
@@ -137,18 +137,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return rows.join(classes_of(rows), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with its own columns.
+def row_hash(documents: DataFrame) -> Column:
+    """A hash of all columns, which tells rows with the same doc_id apart."""
+    return F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in documents.columns])
 
-    Rows are told apart by doc_id and a hash of all columns, so one row stays even
-    where doc_ids repeat or are null.
-    """
+
+def one_of_each(documents: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The document with the smallest doc_id of each root of ``rooted`` (doc_id, content, root), with its own columns."""
     content, place = spare(documents, "content", "place")
-    hashed = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in documents.columns])
-    rows = saved(documents.select("doc_id", hashed.alias(content), fingerprints(text_of()).alias("fp")))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", content)).alias("least")
-    kept = saved(rows.join(classes_of(rows), "fp").groupBy("root").agg(least).select("least.doc_id", f"least.{content}"))
-    left = documents.withColumn(content, hashed).alias("d")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "content")).alias("least")
+    kept = saved(rooted.groupBy("root").agg(least).select("least.doc_id", F.col("least.content").alias(content)))
+    left = documents.withColumn(content, row_hash(documents)).alias("d")
     same = F.col(f"d.{content}").eqNullSafe(F.col(f"k.{content}")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
     repeated = Window.partitionBy("doc_id", content).orderBy(F.lit(0))
     return (
@@ -157,3 +156,13 @@ def keep_one(documents: DataFrame) -> DataFrame:
         .where(F.col(place) == 1)
         .select(documents.columns)
     )
+
+
+def keep_one(documents: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with its own columns.
+
+    Rows are told apart by doc_id and a hash of all columns, so one row stays even
+    where doc_ids repeat or are null.
+    """
+    rows = saved(documents.select("doc_id", row_hash(documents).alias("content"), fingerprints(text_of()).alias("fp")))
+    return one_of_each(documents, rows.join(classes_of(rows), "fp"))
