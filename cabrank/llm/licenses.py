@@ -7,6 +7,12 @@ of word bigrams. The Dice coefficient of sets of sizes m and n is at most
 n * t / (2 - t) and n * (2 - t) / t. These permitted sizes are listed per template, and an
 equi-join on the size yields the few templates each unit is compared with.
 
+Notices wrapped over lines are found in runs of pieces, which are lines and the sentences
+of lines: a text that holds enough bigrams of the templates is compared by all runs that cross
+a line break, start where a template may start and have up to as many pieces as the largest
+permitted size and up to twice as many words. A licence found in no unit of a doc_id, but in
+its runs, is reported with the best of them, as one unit.
+
 All of it is DataFrame functions; units are not shuffled, only matches are. Null texts count
 as empty. Texts with fewer than two words match nothing. Templates with the same name are
 alternatives; null or one-word templates are ignored. A null doc_id is reported like any
@@ -81,12 +87,7 @@ def words(text: Column) -> Column:
 
 def bigrams(text: Column) -> Column:
     """The distinct pairs of neighbouring words of a text."""
-
-    def pairs(w: Column) -> Column:
-        joined = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-        return F.when(F.size(w) > 1, F.array_distinct(joined)).otherwise(F.array().cast("array<string>"))
-
-    return bound(words(text), pairs)
+    return bound(words(text), neighbours)
 
 
 def units(text: Column) -> Column:
@@ -119,12 +120,59 @@ def scan(documents: DataFrame, known: DataFrame | None = None, threshold: float
         F.transform(units(text_of()), bigrams), lambda p: (F.size(p) >= (lowest or 1)) & (F.size(p) <= (highest or 0))
     )
     paired = documents.select("doc_id", F.explode_outer(own).alias("own"))
+    found = matches(paired, sizes, n, threshold).groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count("*").alias("n_units"))
+    if not n:
+        return found
+    found = saved(found)
+    crossing = documents.select("doc_id", text_of().alias("text")).where(F.instr("text", "\n") > 0)
+    runs = wrapped(crossing, known, lowest, highest, threshold)
+    over = matches(runs, sizes, n, threshold).groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
+    same = F.col("o.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("o.license") == F.col("f.license"))
+    more = over.alias("o").join(found.alias("f"), same, "left_anti").select("doc_id", "license", "dice", F.lit(1).cast("long").alias("n_units"))
+    return found.unionByName(more)
+
+
+def matches(paired: DataFrame, sizes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """doc_id, license, dice for every unit and template that reach the threshold."""
     small = F.broadcast(sizes) if n <= BROADCAST_SIZES else sizes
     both = F.size(F.array_intersect("own", "pairs"))
     return (
         paired.join(small, F.size("own") == F.col("size"))
         .select("doc_id", "license", (2 * both / (F.size("own") + F.size("pairs"))).alias("dice"))
         .where(F.col("dice") >= threshold)
-        .groupBy("doc_id", "license")
-        .agg(F.max("dice").alias("dice"), F.count("*").alias("n_units"))
     )
+
+
+def neighbours(w: Column) -> Column:
+    """The distinct pairs of a list of words."""
+    joined = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(F.size(w) > 1, F.array_distinct(joined)).otherwise(F.array().cast("array<string>"))
+
+
+def wrapped(documents: DataFrame, known: DataFrame, lowest: int, highest: int, threshold: float) -> DataFrame:
+    """doc_id and the bigrams (own) of the runs of pieces that cross a line break and may hold a notice.
+
+    A run that reaches the threshold has at least n * t / (2 - t) bigrams of a template of size n, and so has its text.
+    """
+    least = F.ceil(F.min(F.size("pairs")) * threshold / (2 - threshold) - 1e-9).alias("least")
+    every = known.agg(F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("known_pairs"), least)
+    texts = documents.crossJoin(F.broadcast(every)).where(F.size(F.array_intersect(bigrams(F.col("text")), "known_pairs")) >= F.col("least"))
+
+    def pieces(line: Column, i: Column) -> Column:
+        cut = F.filter(F.transform(F.split(line, r"(?<=[.!?])[ \t]+"), words), lambda w: F.size(w) > 0)
+        return F.transform(cut, lambda w: F.struct(i.alias("line"), w.alias("words")))
+
+    # Kept, so that later expressions do not cut the text again.
+    cut = saved(texts.select("doc_id", "known_pairs", F.flatten(F.transform(F.split("text", "\n"), pieces)).alias("pieces")).where(F.size("pieces") > 1))
+    starts = cut.select("doc_id", "known_pairs", "pieces", F.explode(F.sequence(F.lit(1), F.size("pieces"))).alias("at"))
+    starts = starts.select("doc_id", "known_pairs", F.slice("pieces", F.col("at"), F.lit(highest + 1)).alias("run"))
+    # A run whose first two pieces share nothing with a template is never better than the run without the first.
+    near = bound(F.flatten(F.transform(F.slice("run", 1, 2), lambda p: p["words"])), neighbours)
+    starts = starts.where((F.size("run") > 1) & F.arrays_overlap(near, "known_pairs")).select("doc_id", "run")
+    ends = starts.select("doc_id", "run", F.explode(F.sequence(F.lit(2), F.size("run"))).alias("n"))
+    ends = ends.where(F.element_at("run", F.col("n"))["line"] > F.col("run")[0]["line"])
+    count = F.aggregate(F.slice("run", 1, F.col("n")), F.lit(0), lambda total, p: total + F.size(p["words"]))
+    listed = ends.where(count <= 2 * highest + 1).select("doc_id", F.flatten(F.transform(F.slice("run", 1, F.col("n")), lambda p: p["words"])).alias("w"))
+    # One expression up to the explode, as in scan.
+    own = F.filter(F.array(bound(F.col("w"), neighbours)), lambda p: F.size(p).between(lowest, highest))
+    return listed.select("doc_id", F.explode(own).alias("own"))
