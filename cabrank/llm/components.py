@@ -21,8 +21,17 @@ def _smallest(links: DataFrame) -> DataFrame:
     return moved.union(least.select("high", F.col("least").alias("low")))
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first())
+def _kept(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The distinct links, kept, with their number and a checksum.
+
+    A checkpoint hands on the size Spark estimates, and that of a join is the product of its inputs: after
+    some rounds a number of millions of digits. Rows in the cache have their real size, so the estimate starts anew.
+    """
+    cached = links.distinct().persist()
+    state = tuple(cached.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first())
+    kept = saved(cached.select("high", "low"))
+    cached.unpersist()
+    return kept, state
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -33,15 +42,11 @@ def connected(links: DataFrame) -> DataFrame:
     logarithm of the size of a component. Only a count and a checksum reach the driver.
     """
     a, b = links.columns
-    links = saved(
-        links.where(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low"))
-        .distinct()
-    )
-    state = _state(links)
+    links = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low"))
+    links, state = _kept(links)
     while state[0]:
-        links = saved(_smallest(saved(_largest(links).distinct())).distinct())
-        before, state = state, _state(links)
+        before = state
+        links, state = _kept(_smallest(saved(_largest(links).distinct())))
         if before == state:
             break
     return links.select(F.col("high").alias("node"), F.col("low").alias("root"))

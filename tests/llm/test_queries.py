@@ -13,6 +13,7 @@ import corpus_pipeline
 from cabrank.llm import bpe, queries
 from conftest import SMALL
 from test_duplicates import near, slow_fingerprint, union_find
+from test_near_copies import expected as similar_groups
 from test_registry import table
 
 TABLES = ("documents", "pages", "embeddings", "labels")
@@ -88,9 +89,8 @@ def test_pipeline(spark, duck, library):
     assert single.columns == columns and sorted(r.doc_id for r in single.collect()) == sorted(best.values())
 
     apart = stages[2](spark, single, SMALL).persist()
-    rows = sorted((r.doc_id, slow_fingerprint(r.text)) for r in single.collect())
-    roots = union_find([(a, b) for a, (_, p) in enumerate(rows) for b, (_, q) in enumerate(rows) if a <= b and near(p, q)])
-    assert apart.columns == columns and sorted(r.doc_id for r in apart.collect()) == sorted(rows[r][0] for r in set(roots.values()))
+    rows = sorted((r.doc_id, r.text) for r in single.collect())
+    assert apart.columns == columns and sorted(r.doc_id for r in apart.collect()) == similar_groups(rows)[0]
 
     mixed = stages[3](spark, apart, SMALL).persist()
     copies = collections.Counter(r.doc_id for r in mixed.collect())
