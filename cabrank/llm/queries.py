@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cabrank.llm import bpe, exact_dedup, licenses, mixing, quality, secrets, simhash, token_counts, topk, url_filter
+from cabrank.llm import (
+    bpe, conversation_trie, exact_dedup, licenses, mixing, page_text, quality, ranked_search, secrets, simhash, token_counts, topk,
+    url_filter,
+)
 from cabrank.llm.common import table
 
 URL_RULES = (
@@ -64,11 +67,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_exact_dedup, op3_byte_bpe, op4_exact_topk, op5_license_scans,
         op6_token_counts, op7_source_mixing, op8_simhash, op9_secret_scans, op10_quality,
+        op11_main_text, op12_conversation_trie, op13_ranked_search,
     )
 }
 
@@ -163,5 +179,80 @@ joined AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM (SELECT row_number() OVER () AS row_id, doc_id FROM documents) LEFT JOIN joined USING (row_id)
+""",
+    # The article of these pages by patterns: it holds headings and paragraphs, b, br and a few references.
+    "op11_main_text": r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS row_id, page_id, url,
+    string_split_regex(replace(replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '<b>', ''), '<br>', ' '), '</?(p|h1)>') AS parts
+  FROM pages
+),
+plain AS (
+  SELECT row_id, page_id, url, list_filter(list_transform(parts, lambda part: trim(regexp_replace(
+    replace(replace(replace(replace(part, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[ \t\n\x0b\f\r]+', ' ', 'g'))), lambda part: part <> '') AS parts
+  FROM cut
+)
+SELECT page_id, url, coalesce(array_to_string(parts, chr(10) || chr(10)), '') AS text,
+  CAST(length(coalesce(array_to_string(parts, chr(10) || chr(10)), '')) AS BIGINT) AS n_chars
+FROM plain
+""",
+    "op12_conversation_trie": r"""
+WITH own AS (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), said := coalesce(text, '')) ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+hashed AS (
+  SELECT conv_id, turns, conv_id - conv_id % 20 AS head, xor(list_reduce(list_prepend(4294967295, range(8 * length(CAST(conv_id AS VARCHAR)))),
+    lambda crc, k: CASE
+      WHEN (CASE WHEN k % 8 = 0 THEN xor(crc, CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(k // 8 + 1 AS INT), 1)) AS BIGINT)) ELSE crc END) % 2 = 1
+      THEN xor((CASE WHEN k % 8 = 0 THEN xor(crc, CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(k // 8 + 1 AS INT), 1)) AS BIGINT)) ELSE crc END) // 2, 3988292384)
+      ELSE (CASE WHEN k % 8 = 0 THEN xor(crc, CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(k // 8 + 1 AS INT), 1)) AS BIGINT)) ELSE crc END) // 2 END),
+    4294967295) % 4 AS h
+  FROM own
+),
+members AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[:a.h], a.turns[a.h + 1:]) AS path FROM hashed a LEFT JOIN own b ON a.head = b.conv_id
+),
+placed AS (SELECT conv_id, path[:d] AS node, d, len(path) AS deep FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM members)),
+nodes AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (deep = d), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(node[-1].said, '[^\x20\x09-\x0D]+')) END AS spent
+  FROM placed GROUP BY node, d
+),
+children AS (SELECT node[:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+above AS (
+  SELECT n.node[:up] AS node, sum(spent) AS saved_tokens, count(*) FILTER (c.node IS NULL) AS n_leaves
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM nodes) n LEFT JOIN children c ON n.node = c.node GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, a.n_leaves,
+  CAST(a.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN above a ON a.node = n.node LEFT JOIN children c ON c.node = n.node LEFT JOIN nodes p ON n.d > 0 AND p.node = n.node[:n.d - 1]
+""",
+    "op13_ranked_search": r"""
+WITH terms AS (
+  SELECT row_id, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row_id, doc_id, text FROM documents)
+),
+held AS (SELECT row_id, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT row_id, CAST(sum(tf) AS BIGINT) AS size FROM held GROUP BY row_id),
+total AS (SELECT count(*) AS docs, CAST(sum(size) AS BIGINT) AS words FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM held, total GROUP BY term, docs),
+asked AS (
+  SELECT DISTINCT item_row, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS item_row, item_id, text FROM benchmark)
+),
+scored AS (
+  SELECT item_row, item_id, row_id, doc_id,
+    CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * size * docs) // words)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (row_id), total GROUP BY ALL
+),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id NULLS LAST, row_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }
