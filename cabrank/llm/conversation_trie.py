@@ -11,7 +11,7 @@ at a turn that is shared; paths that now end at the same node are merged, and th
 by the conversations that ended there all along. The next round peels the merged paths. The rounds end
 with the root; their number follows how often branches are nested, not the length of a conversation.
 
-Turns are ordered by turn (null first), equal turn numbers by role and text; null role or text counts as empty. Rows
+Turns are ordered by turn (null first), equal turn numbers by role and MD5 of the text; null role or text counts as empty. Rows
 without conv_id are no conversation. A conversation is held in one row, as a text is elsewhere; its
 texts are not, only 16 bytes a turn. Repeated rows are turns of their own. An empty table has no
 root and gives no rows. Further columns are left alone, whatever their names.

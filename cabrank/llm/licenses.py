@@ -7,15 +7,19 @@ of word bigrams. The Dice coefficient of sets of sizes m and n is at most
 n * t / (2 - t) and n * (2 - t) / t. These permitted sizes are listed per template, and an
 equi-join on the size yields the few templates each unit is compared with.
 
-Notices wrapped over lines are found in runs of pieces, which are lines and the sentences
-of lines: a text that holds enough bigrams of the templates is compared by all runs that cross
-a line break, start where a template may start and have up to as many pieces as the largest
-permitted size and up to twice as many words. A licence found in no unit of a doc_id, but in
-its runs, is reported with the best of them, as one unit.
-
-All of it is DataFrame functions; units are not shuffled, only matches are. Null texts count
-as empty. Texts with fewer than two words match nothing. Templates with the same name are
-alternatives; null or one-word templates are ignored. A null doc_id is reported like any
+A unit that reaches the threshold shares at least n * t / (2 - t) bigrams with the template, so it
+holds one of any other n - n * t / (2 - t) + 1 of them. The longest ones are the template's marks, and only texts that
+hold a word of a mark are cut into units at all.
+
+Notices wrapped over lines or of several sentences are found in runs of pieces, which are lines and the sentences
+of lines. A text that holds a mark of a template, and enough of its bigrams, is searched for it: a run
+starts at every piece that shares something with the template and grows piece by piece, within a line and across
+lines, until it has more distinct bigrams than the largest permitted size. Nothing else ends a run. A licence found in no
+unit of a doc_id, but in its runs, is reported with the best of them, as one unit.
+
+All of it is DataFrame functions; units are not shuffled, only matches are, and of the texts with marks the runs. Null texts count
+as empty. Texts with fewer than two words match nothing. Very long texts are held in one row, with their bigrams.
+Templates with the same name are alternatives; null or one-word templates are ignored. A null doc_id is reported like any
 other, and repeated doc_ids are reported together. Empty tables give an empty result;
 further columns are left alone.
 """
@@ -31,6 +35,8 @@ from cabrank.llm.common import saved, text_of
 THRESHOLD = 0.8
 #: Sizes of templates are broadcast up to this number, which is counted before.
 BROADCAST_SIZES = 200_000
+#: Marks are listed in the plan up to this number; with more of them, every text is cut.
+LISTED = 10_000
 
 # Short notices and opening paragraphs of public licences.
 TEMPLATES = (
@@ -108,25 +114,50 @@ def permitted(known: DataFrame, threshold: float) -> DataFrame:
     return known.select("license", "pairs", F.explode(F.sequence(F.greatest(low, F.lit(1)), high)).alias("size"))
 
 
+def least_shared(threshold: float) -> Column:
+    """The bigrams a unit that reaches the threshold shares with a template at least."""
+    return F.ceil(F.size("pairs") * threshold / (2 - threshold) - 1e-9).cast("int")
+
+
+def marks_of(known: DataFrame, threshold: float) -> DataFrame:
+    """template, pair, word: bigrams of which every match has one, and the longer word of each."""
+    by_length = F.sort_array(F.transform("pairs", lambda p: F.struct((-F.length(p)).alias("order"), p.alias("pair"))))
+    marks = F.slice(by_length, F.lit(1), F.size("pairs") - least_shared(threshold) + 1)
+    first, second = F.split("pair", " ")[0], F.split("pair", " ")[1]
+    longer = F.when(F.length(first) >= F.length(second), first).otherwise(second)
+    return known.select("template", F.explode(marks["pair"]).alias("pair")).withColumn("word", longer)
+
+
+def listed(values: DataFrame) -> Column | None:
+    """The distinct values of the one column as a literal list, if there are no more than ``LISTED``."""
+    found = [r[0] for r in values.distinct().limit(LISTED + 1).collect()]
+    return F.array(*map(F.lit, sorted(found))) if 0 < len(found) <= LISTED else None
+
+
 def scan(documents: DataFrame, known: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per doc_id and licence found: doc_id, license, dice (the best) and n_units (how many units match)."""
     known = templates(documents.sparkSession) if known is None else known
     known = known.where("license IS NOT NULL AND template IS NOT NULL")
     known = known.select("license", bigrams(F.col("template")).alias("pairs")).where(F.size("pairs") > 0)
+    known = saved(known.withColumn("template", F.monotonically_increasing_id()))
     sizes = saved(permitted(known, threshold))
     n, lowest, highest = sizes.agg(F.count("*"), F.min("size"), F.max("size")).first()
+    marks = saved(marks_of(known, threshold))
+    texts = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_of().alias("text"))
+    rare = listed(marks.select("word"))
+    if rare is not None:
+        texts = texts.where(F.arrays_overlap(F.split(F.lower("text"), "[^a-z0-9]+"), rare))
+    texts = saved(texts)
     # One expression up to the explode: later conditions would otherwise compute the bigrams again.
     own = F.filter(
-        F.transform(units(text_of()), bigrams), lambda p: (F.size(p) >= (lowest or 1)) & (F.size(p) <= (highest or 0))
+        F.transform(units(F.col("text")), bigrams), lambda p: (F.size(p) >= (lowest or 1)) & (F.size(p) <= (highest or 0))
     )
-    paired = documents.select("doc_id", F.explode_outer(own).alias("own"))
+    paired = texts.select("doc_id", F.explode_outer(own).alias("own"))
     found = matches(paired, sizes, n, threshold).groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count("*").alias("n_units"))
     if not n:
         return found
     found = saved(found)
-    crossing = documents.select("doc_id", text_of().alias("text")).where(F.instr("text", "\n") > 0)
-    runs = wrapped(crossing, known, lowest, highest, threshold)
-    over = matches(runs, sizes, n, threshold).groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
+    over = runs(texts, known, marks, threshold)
     same = F.col("o.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("o.license") == F.col("f.license"))
     more = over.alias("o").join(found.alias("f"), same, "left_anti").select("doc_id", "license", "dice", F.lit(1).cast("long").alias("n_units"))
     return found.unionByName(more)
@@ -143,36 +174,64 @@ def matches(paired: DataFrame, sizes: DataFrame, n: int, threshold: float) -> Da
     )
 
 
+def in_order(w: Column) -> Column:
+    """The pairs of a list of words, in order."""
+    joined = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(F.size(w) > 1, joined).otherwise(F.array().cast("array<string>"))
+
+
 def neighbours(w: Column) -> Column:
     """The distinct pairs of a list of words."""
-    joined = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.when(F.size(w) > 1, F.array_distinct(joined)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(in_order(w))
 
 
-def wrapped(documents: DataFrame, known: DataFrame, lowest: int, highest: int, threshold: float) -> DataFrame:
-    """doc_id and the bigrams (own) of the runs of pieces that cross a line break and may hold a notice.
+def best_run(threshold: float) -> Column:
+    """The best Dice coefficient of a run of pieces with the template ``pairs``.
 
-    A run that reaches the threshold has at least n * t / (2 - t) bigrams of a template of size n, and so has its text.
+    ``every`` has the bigrams of the text in order, ``ends`` the number of words up to each piece, from 0 on.
+    The bigram over the end of a piece belongs to a run that goes on after it.
     """
-    least = F.ceil(F.min(F.size("pairs")) * threshold / (2 - threshold) - 1e-9).alias("least")
-    every = known.agg(F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("known_pairs"), least)
-    texts = documents.crossJoin(F.broadcast(every)).where(F.size(F.array_intersect(bigrams(F.col("text")), "known_pairs")) >= F.col("least"))
+    n = F.size("pairs")
+    highest = F.floor(n * (2 - threshold) / threshold + 1e-9)
+    words_to = lambda piece: F.element_at("ends", piece.cast("int") + 1)
+
+    def span(piece: Column, start: Column) -> Column:
+        """The bigrams that come to a run that started at ``start`` when it takes ``piece``."""
+        first = F.when(piece == start, words_to(piece - 1) + 1).otherwise(words_to(piece - 1))
+        return F.slice("every", first, words_to(piece) - first)
+
+    def grown(start: Column) -> Column:
+        empty = F.struct(F.slice("every", 1, 0).alias("own"), F.lit(0.0).alias("best"), F.lit(False).alias("over"))
+
+        def take(run: Column, piece: Column) -> Column:
+            def compared(own: Column) -> Column:
+                dice = 2 * F.size(F.array_intersect(own, "pairs")) / (F.size(own) + n)
+                over = F.size(own) > highest
+                kept = F.when(over, F.slice("every", 1, 0)).otherwise(own)
+                return F.struct(kept.alias("own"), F.greatest(run["best"], F.when(~over, dice).otherwise(0.0)).alias("best"), over.alias("over"))
+
+            return F.when(run["over"], run).otherwise(bound(F.array_union(run["own"], span(piece, start)), compared))
+
+        return F.aggregate(F.sequence(start, F.size("ends") - 1), empty, take, lambda run: run["best"])
+
+    touching = lambda piece: F.arrays_overlap(F.slice("every", words_to(piece - 1) + 1, words_to(piece) - words_to(piece - 1)), "pairs")
+    starts = F.filter(F.sequence(F.lit(1), F.size("ends") - 1), touching)
+    return F.array_max(F.transform(starts, grown))
+
+
+def runs(texts: DataFrame, known: DataFrame, marks: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, license, dice of the best run of pieces that reaches the threshold, for the texts (row, doc_id, text)."""
 
-    def pieces(line: Column, i: Column) -> Column:
-        cut = F.filter(F.transform(F.split(line, r"(?<=[.!?])[ \t]+"), words), lambda w: F.size(w) > 0)
-        return F.transform(cut, lambda w: F.struct(i.alias("line"), w.alias("words")))
+    def pieces(line: Column) -> Column:
+        return F.filter(F.transform(F.split(line, r"(?<=[.!?])[ \t]+"), words), lambda w: F.size(w) > 0)
 
     # Kept, so that later expressions do not cut the text again.
-    cut = saved(texts.select("doc_id", "known_pairs", F.flatten(F.transform(F.split("text", "\n"), pieces)).alias("pieces")).where(F.size("pieces") > 1))
-    starts = cut.select("doc_id", "known_pairs", "pieces", F.explode(F.sequence(F.lit(1), F.size("pieces"))).alias("at"))
-    starts = starts.select("doc_id", "known_pairs", F.slice("pieces", F.col("at"), F.lit(highest + 1)).alias("run"))
-    # A run whose first two pieces share nothing with a template is never better than the run without the first.
-    near = bound(F.flatten(F.transform(F.slice("run", 1, 2), lambda p: p["words"])), neighbours)
-    starts = starts.where((F.size("run") > 1) & F.arrays_overlap(near, "known_pairs")).select("doc_id", "run")
-    ends = starts.select("doc_id", "run", F.explode(F.sequence(F.lit(2), F.size("run"))).alias("n"))
-    ends = ends.where(F.element_at("run", F.col("n"))["line"] > F.col("run")[0]["line"])
-    count = F.aggregate(F.slice("run", 1, F.col("n")), F.lit(0), lambda total, p: total + F.size(p["words"]))
-    listed = ends.where(count <= 2 * highest + 1).select("doc_id", F.flatten(F.transform(F.slice("run", 1, F.col("n")), lambda p: p["words"])).alias("w"))
-    # One expression up to the explode, as in scan.
-    own = F.filter(F.array(bound(F.col("w"), neighbours)), lambda p: F.size(p).between(lowest, highest))
-    return listed.select("doc_id", F.explode(own).alias("own"))
+    cut = saved(texts.select("row", "doc_id", F.flatten(F.transform(F.split("text", "\n"), pieces)).alias("pieces")).where(F.size("pieces") > 1))
+    ends = F.aggregate("pieces", F.array(F.lit(0)), lambda done, w: F.concat(done, F.array(F.element_at(done, -1) + F.size(w))))
+    cut = saved(cut.select("row", "doc_id", bound(F.flatten("pieces"), in_order).alias("every"), ends.alias("ends")))
+    rare = listed(marks.select("pair"))
+    hits = F.array_distinct("every") if rare is None else F.array_intersect("every", rare)
+    asked = cut.select("row", F.explode(hits).alias("pair")).join(marks, "pair").select("row", "template").distinct()
+    both = cut.join(asked, "row").join(known, "template").where(F.size(F.array_intersect("every", "pairs")) >= least_shared(threshold))
+    best = saved(both.select("doc_id", "license", best_run(threshold).alias("dice")))
+    return best.where(F.col("dice") >= threshold).groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))

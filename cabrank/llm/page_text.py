@@ -371,8 +371,10 @@ def labeller_of(pages: DataFrame) -> Labeller:
     """The labeller trained in one task on a bounded sample; only its weights reach the driver."""
 
     def train(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sample = pd.concat(list(groups), ignore_index=True)
-        sample = sample.sort_values(["h", "html"], kind="stable")
+        frames = list(groups)
+        if not frames:
+            return
+        sample = pd.concat(frames, ignore_index=True).sort_values(["h", "html"], kind="stable")
         yield pd.DataFrame({"weights": [pickle.dumps(trained(sample["html"].tolist()).weights)]})
 
     short = pages.select(F.xxhash64("page_id").alias("h"), F.col("html").cast("string").alias("html")).where(F.length("html") <= TRAIN_CHARS)
