@@ -8,8 +8,8 @@ n * t / (2 - t) and n * (2 - t) / t. These permitted sizes are listed per templa
 equi-join on the size yields the few templates each unit is compared with.
 
 A unit that reaches the threshold shares at least n * t / (2 - t) bigrams with the template, so it
-holds one of any other n - n * t / (2 - t) + 1 of them. The longest ones are the template's marks, and only texts that
-hold a word of a mark are cut into units at all.
+holds one of any other n - n * t / (2 - t) + 1 of them. The ones with the longest words are the template's marks, and only texts that
+hold the longer word of a mark, or both its words next to each other if they are short, are cut into units at all.
 
 Notices wrapped over lines or of several sentences are found in runs of pieces, which are lines and the sentences
 of lines. A text that holds a mark of a template, and enough of its bigrams, is searched for it: a run
@@ -17,7 +17,7 @@ starts at every piece that shares something with the template and grows piece by
 lines, until it has more distinct bigrams than the largest permitted size. Nothing else ends a run. A licence found in no
 unit of a doc_id, but in its runs, is reported with the best of them, as one unit.
 
-All of it is DataFrame functions; units are not shuffled, only matches are, and of the texts with marks the runs. Null texts count
+All of it is DataFrame functions; units and runs are not shuffled, only matches are (with more than LISTED marks, the texts with marks too). Null texts count
 as empty. Texts with fewer than two words match nothing. Very long texts are held in one row, with their bigrams.
 Templates with the same name are alternatives; null or one-word templates are ignored. A null doc_id is reported like any
 other, and repeated doc_ids are reported together. Empty tables give an empty result;
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from cabrank.llm.common import saved, text_of
 
@@ -37,6 +37,8 @@ THRESHOLD = 0.8
 BROADCAST_SIZES = 200_000
 #: Marks are listed in the plan up to this number; with more of them, every text is cut.
 LISTED = 10_000
+#: Marks without a word of so many letters are looked for as a whole, as their words are too common.
+LONG_WORD = 4
 
 # Short notices and opening paragraphs of public licences.
 TEMPLATES = (
@@ -121,17 +123,23 @@ def least_shared(threshold: float) -> Column:
 
 def marks_of(known: DataFrame, threshold: float) -> DataFrame:
     """template, pair, word: bigrams of which every match has one, and the longer word of each."""
-    by_length = F.sort_array(F.transform("pairs", lambda p: F.struct((-F.length(p)).alias("order"), p.alias("pair"))))
-    marks = F.slice(by_length, F.lit(1), F.size("pairs") - least_shared(threshold) + 1)
-    first, second = F.split("pair", " ")[0], F.split("pair", " ")[1]
-    longer = F.when(F.length(first) >= F.length(second), first).otherwise(second)
-    return known.select("template", F.explode(marks["pair"]).alias("pair")).withColumn("word", longer)
+    longest = lambda p: F.array_max(F.transform(F.split(p, " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))
+    ranked = F.sort_array(F.transform("pairs", lambda p: F.struct(longest(p).alias("longest"), p.alias("pair"))), asc=False)
+    marks = F.slice(ranked, F.lit(1), F.size("pairs") - least_shared(threshold) + 1)
+    return known.select("template", F.explode(marks).alias("mark")).select("template", "mark.pair", F.col("mark.longest.word").alias("word"))
 
 
-def listed(values: DataFrame) -> Column | None:
-    """The distinct values of the one column as a literal list, if there are no more than ``LISTED``."""
-    found = [r[0] for r in values.distinct().limit(LISTED + 1).collect()]
-    return F.array(*map(F.lit, sorted(found))) if 0 < len(found) <= LISTED else None
+def may_hold(text: Column, marks: list[Row]) -> Column:
+    """Whether a text holds the longer word of a mark, or a whole mark of short words."""
+    rare = sorted({m.word for m in marks if len(m.word) >= LONG_WORD})
+    short = sorted({m.pair for m in marks if len(m.word) < LONG_WORD})
+    holds = F.lit(False)
+    if rare:
+        holds = holds | F.arrays_overlap(F.split(F.lower(text), "[^a-z0-9]+"), F.array(*map(F.lit, rare)))
+    if short:
+        anyone = "|".join(pair.replace(" ", "[^a-z0-9]+") for pair in short)
+        holds = holds | F.lower(text).rlike(f"(?<![a-z0-9])(?:{anyone})(?![a-z0-9])")
+    return holds
 
 
 def scan(documents: DataFrame, known: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -144,9 +152,9 @@ def scan(documents: DataFrame, known: DataFrame | None = None, threshold: float
     n, lowest, highest = sizes.agg(F.count("*"), F.min("size"), F.max("size")).first()
     marks = saved(marks_of(known, threshold))
     texts = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_of().alias("text"))
-    rare = listed(marks.select("word"))
-    if rare is not None:
-        texts = texts.where(F.arrays_overlap(F.split(F.lower("text"), "[^a-z0-9]+"), rare))
+    listed = marks.limit(LISTED + 1).collect()
+    if len(listed) <= LISTED:
+        texts = texts.where(may_hold(F.col("text"), listed))
     texts = saved(texts)
     # One expression up to the explode: later conditions would otherwise compute the bigrams again.
     own = F.filter(
@@ -157,7 +165,7 @@ def scan(documents: DataFrame, known: DataFrame | None = None, threshold: float
     if not n:
         return found
     found = saved(found)
-    over = runs(texts, known, marks, threshold)
+    over = runs(texts, known, marks, listed, threshold)
     same = F.col("o.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("o.license") == F.col("f.license"))
     more = over.alias("o").join(found.alias("f"), same, "left_anti").select("doc_id", "license", "dice", F.lit(1).cast("long").alias("n_units"))
     return found.unionByName(more)
@@ -219,19 +227,32 @@ def best_run(threshold: float) -> Column:
     return F.array_max(F.transform(starts, grown))
 
 
-def runs(texts: DataFrame, known: DataFrame, marks: DataFrame, threshold: float) -> DataFrame:
+def runs(texts: DataFrame, known: DataFrame, marks: DataFrame, listed: list[Row], threshold: float) -> DataFrame:
     """doc_id, license, dice of the best run of pieces that reaches the threshold, for the texts (row, doc_id, text)."""
 
     def pieces(line: Column) -> Column:
         return F.filter(F.transform(F.split(line, r"(?<=[.!?])[ \t]+"), words), lambda w: F.size(w) > 0)
 
-    # Kept, so that later expressions do not cut the text again.
-    cut = saved(texts.select("row", "doc_id", F.flatten(F.transform(F.split("text", "\n"), pieces)).alias("pieces")).where(F.size("pieces") > 1))
-    ends = F.aggregate("pieces", F.array(F.lit(0)), lambda done, w: F.concat(done, F.array(F.element_at(done, -1) + F.size(w))))
-    cut = saved(cut.select("row", "doc_id", bound(F.flatten("pieces"), in_order).alias("every"), ends.alias("ends")))
-    rare = listed(marks.select("pair"))
-    hits = F.array_distinct("every") if rare is None else F.array_intersect("every", rare)
-    asked = cut.select("row", F.explode(hits).alias("pair")).join(marks, "pair").select("row", "template").distinct()
-    both = cut.join(asked, "row").join(known, "template").where(F.size(F.array_intersect("every", "pairs")) >= least_shared(threshold))
+    def cut(lists: Column) -> Column:
+        ends = F.aggregate(lists, F.array(F.lit(0)), lambda done, w: F.concat(done, F.array(F.element_at(done, -1) + F.size(w))))
+        return F.struct(bound(F.flatten(lists), in_order).alias("every"), ends.alias("ends"))
+
+    # One expression, so that no text is cut twice; kept, so that later ones do not cut it again.
+    own = texts.select("row", "doc_id", bound(F.flatten(F.transform(F.split("text", "\n"), pieces)), cut).alias("cut"))
+    own = own.select("row", "doc_id", "cut.every", "cut.ends").where(F.size("ends") > 2)
+    if len(listed) <= LISTED:
+        of_pair: dict[str, list[int]] = {}
+        for mark in listed:
+            of_pair.setdefault(mark.pair, []).append(mark.template)
+        held = F.array(*map(F.lit, of_pair))
+        named = F.map_from_arrays(held, F.array(*[F.array(*map(F.lit, t)) for t in of_pair.values()]))
+        hits = F.transform(F.array_intersect("every", held), lambda pair: F.element_at(named, pair))
+        own = saved(own.withColumn("templates", F.array_distinct(F.flatten(hits))).where(F.size("templates") > 0))
+        asked = own.select("doc_id", "every", "ends", F.explode("templates").alias("template"))
+    else:
+        own = saved(own)
+        pairs = own.select("row", F.explode(F.array_distinct("every")).alias("pair"))
+        asked = own.join(pairs.join(marks, "pair").select("row", "template").distinct(), "row")
+    both = asked.join(known, "template").where(F.size(F.array_intersect("every", "pairs")) >= least_shared(threshold))
     best = saved(both.select("doc_id", "license", best_run(threshold).alias("dice")))
     return best.where(F.col("dice") >= threshold).groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
