@@ -33,6 +33,11 @@ def distinct_places(column: str, name: str) -> Column:
     return F.size(F.collect_set(column)).cast("bigint").alias(name)
 
 
+def distinct_days(column: Column | str, name: str) -> Column:
+    """Exact distinct count of dates, of which a calendar bounds the number; several share one pass."""
+    return F.size(F.collect_set(column)).cast("bigint").alias(name)
+
+
 def count_where(condition: Column, name: str) -> Column:
     return F.count_if(condition).alias(name)
 
@@ -119,6 +124,42 @@ def place_cells(trips: DataFrame, keys: list[str], *columns: str) -> DataFrame:
     return trips.groupBy(*keys, "pickup_location_id", "dropoff_location_id").agg(rows("_n"), *partial_sums(*columns))
 
 
+# --- distinct ids that can be merged ----------------------------------------
+# Ids without a bound are no set that fits a row, and ordinary distinct counts copy every row for each
+# column. Bitmaps hold the ids of one range each: they are built where the rows are, travel with
+# the sums and are united wherever groups are merged.
+
+
+def id_cells(df: DataFrame, keys: list, ids: list[str], *partials: Column) -> DataFrame:
+    """Partial results per group and range of each integer id column, with bitmaps of the ids (_bits_...)."""
+    ranges = [F.bitmap_bucket_number(F.col(i).cast("bigint")).alias(f"_range_{i}") for i in ids]
+    bits = [F.bitmap_construct_agg(F.bitmap_bit_position(F.col(i).cast("bigint"))).alias(f"_bits_{i}") for i in ids]
+    return df.groupBy(*keys, *ranges).agg(*partials, *bits)
+
+
+def merged_ids(cells: DataFrame, keys: list[str], ids: dict[str, str], *aggregates: Column) -> DataFrame:
+    """Groups of the cells of ``id_cells``: exact distinct counts (name -> id column) and merged partial results.
+
+    Partial results are the columns that begin with an underscore, other than ranges and bitmaps; they are added up.
+    """
+    sums = [c for c in cells.columns if c.startswith("_") and not c.startswith(("_range_", "_bits_")) and c not in keys]
+    entries = [
+        F.struct(
+            F.lit(i).alias("_id"), F.col(f"_range_{column}").alias("_range"), F.col(f"_bits_{column}").alias("_bits"),
+            *[(F.col(s) if i == 0 else F.lit(None).cast(cells.schema[s].dataType)).alias(s) for s in sums],
+        )
+        for i, column in enumerate(ids.values())
+    ]
+    united = cells.select(*keys, F.inline(F.array(*entries))).groupBy(*keys, "_id", "_range").agg(
+        F.bitmap_or_agg("_bits").alias("_bits"), *[F.sum(s).alias(s) for s in sums]
+    )
+    counts = [
+        F.coalesce(F.sum(F.when(F.col("_id") == i, F.bitmap_count("_bits"))), F.lit(0)).cast("bigint").alias(name)
+        for i, name in enumerate(ids)
+    ]
+    return united.groupBy(*keys).agg(*aggregates, *counts)
+
+
 def growth_percent(now: Column, before: Column, digits: int = 2) -> Column:
     """Change against the previous value in percent; null without one or when it is zero."""
     return c.rounded(c.ratio((now - before) * F.lit(100.0), before), digits)

@@ -10,6 +10,9 @@ from cabrank.operators.sizing import lookup
 # Columns whose values come from a fixed code list.
 CODE_COLUMNS = {"trip_type", "payment_type", "rate_code_id", "vendor_id", "store_and_fwd_flag"}
 
+#: Entries a code list may have to be broadcast without a look at its bytes.
+MOST_CODES = 10_000
+
 
 def _zone_side(zones: DataFrame, side: str, with_service: bool = True) -> DataFrame:
     names = {"borough": f"{side}_borough", "zone": f"{side}_zone", "service_zone": f"{side}_service_zone"}
@@ -102,12 +105,13 @@ def cross_join_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def stats_join_by_key(df: DataFrame, stats: DataFrame, key: str = "trip_type") -> DataFrame:
-    """Attach per-key statistics.
+    """Attach per-key statistics, at most one row per key.
 
-    Statistics per code have one row for each entry of a fixed code list and
-    are broadcast. Any other key is joined as Spark sees fit.
+    A code column has the entries of a fixed list, so its statistics are counted first and broadcast while there are
+    no more than ``MOST_CODES`` of them. Any other key, or a longer list, is joined as Spark sees fit.
     """
-    return df.join(F.broadcast(stats) if key in CODE_COLUMNS else stats, key)
+    few = key in CODE_COLUMNS and stats.select(key).limit(MOST_CODES + 1).count() <= MOST_CODES
+    return df.join(F.broadcast(stats) if few else stats, key)
 
 
 def anti_semi_check(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:

@@ -1,11 +1,14 @@
-"""Exact percentiles (linear interpolation), also for groups larger than a task's memory.
+"""Exact percentiles (linear interpolation) by brackets, also for groups larger than a task's memory.
 
 Spark's ``percentile`` keeps all distinct values of a group in one map, which no
-check of the input can bound. The same numbers are found by order statistics: values
-are counted, cut into value ranges of similar load, located by running totals over
-the ranges, and only the ranges that hold a wanted rank are put in order. A group of
-any size is spread over the ranges, so no task sees it whole, and there are more
-ranges where the session has more shuffle partitions.
+check of the input can bound. Here a first pass takes the ordinary aggregates and a
+quantile sketch of each group, which gives every wanted rank a bracket: two values it lies between.
+A second pass counts the values around the brackets, which leaves a few numbers of each task, and shuffles only the values
+inside them, about 2 * MARGIN / ACCURACY of a group for each percentile. The numbers around a bracket tell
+the exact ranks of the values inside. A sketch that errs by more than it promises would miss a rank; that is seen
+in the counts, and the group is counted again with all its values inside.
+
+Both passes run when the function is called; what they leave is one row per group, kept in the shared folder.
 """
 
 from __future__ import annotations
@@ -14,17 +17,15 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-Specs = dict[str, tuple[str, float]]
-
-# Ranges are found in two steps, so their number is a square.
-LEAST_STRIDE = 32
-RANGES_PER_PARTITION = 4
+from cabrank.operators import sizing
+from cabrank.sources import storage
 
+Specs = dict[str, tuple[str, float]]
 
-def stride(df: DataFrame) -> int:
-    """The root of the number of ranges: one in each task is too few, as only ranges with a wanted rank are ordered."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(LEAST_STRIDE, math.isqrt(RANGES_PER_PARTITION * partitions))
+#: A sketch is off by one rank in so many.
+ACCURACY = 4_000
+#: How many times that error a bracket reaches to either side.
+MARGIN = 2
 
 
 def grouped(
@@ -32,108 +33,96 @@ def grouped(
     keys: list[str],
     aggregates: list[Column],
     percentiles: Specs,
+    accuracy: int = ACCURACY,
+    margin: float = MARGIN,
 ) -> DataFrame:
     """Group by ``keys`` with ordinary aggregates and exact percentiles.
 
-    ``percentiles`` maps a result name to (column, fraction).
+    ``percentiles`` maps a result name to (column, fraction). A group without any value has no percentile.
     """
-    values = order_statistics(df, keys, percentiles)
-    if not aggregates:
-        return values
-    plain = df.groupBy(*keys).agg(*aggregates)
-    renamed = values.select(*[F.col(k).alias(f"_{k}") for k in keys], *percentiles)
-    matched = F.lit(True)
-    for k in keys:
-        matched = matched & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    reach = margin / accuracy
+    columns = sorted({column for column, _ in percentiles.values()})
+    wanted = {column: [(name, p) for name, (of, p) in percentiles.items() if of == column] for column in columns}
+    sketches = []
+    for column, specs in wanted.items():
+        edges = [min(max(p + side * reach, 0.0), 1.0) for _, p in specs for side in (-1, 1)]
+        sketches.append(F.percentile_approx(F.col(column).cast("double"), edges, accuracy).alias(f"_q_{column}"))
+    plain = [F.count(F.lit(1)).alias("_rows"), *aggregates]
+    groups = storage.kept(df.groupBy(*keys).agg(*plain, *sketches))
+    small = groups.count() * (64 + 16 * len(percentiles)) <= sizing.BROADCAST_LIMIT
+
+    found = storage.kept(_located(df, groups.select(*keys, *[f"_q_{c}" for c in columns]), keys, wanted, small))
+    missed = found.filter("_missed > 0")
+    if not missed.isEmpty():
+        everything = [
+            F.array(*[F.lit(x) for _ in specs for x in (-math.inf, math.nan)]).alias(f"_q_{column}") for column, specs in wanted.items()
+        ]
+        wide = _located(df, missed.select(*keys, *everything), keys, wanted, small)
+        found = found.filter("_missed = 0").unionByName(storage.kept(wide))
+
+    values = found.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *percentiles)
     # A group without any value has aggregates but no percentile, hence the left join.
-    joined = plain.join(renamed, matched, "left") if keys else plain.crossJoin(F.broadcast(renamed))
-    return joined.select(*plain.columns, *percentiles)
+    joined = groups.join(F.broadcast(values) if small else values, _same(keys, "_key_"), "left")
+    return joined.select(*keys, *[c for c in groups.columns if c not in (*keys, "_rows") and not c.startswith("_q_")], *percentiles)
 
 
-def _range_of(value: Column, cuts: Column, marks: Column, step: int) -> Column:
-    """Number of sorted cuts below a value: first among the marks (the last cut of each step), then inside that step."""
-    coarse = F.size(F.filter(marks, lambda cut: cut < value))
-    stretch = F.slice(cuts, coarse * step + 1, F.lit(step))
-    return coarse * step + F.size(F.filter(stretch, lambda cut: cut < value))
+def _same(keys: list[str], prefix: str) -> Column:
+    matched = F.lit(True)
+    for k in keys:
+        matched = matched & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return matched
 
 
-def order_statistics(df: DataFrame, keys: list[str], percentiles: Specs) -> DataFrame:
-    columns = sorted({column for column, _ in percentiles.values()})
-    measure = {column: i for i, column in enumerate(columns)}
-    group = F.struct(F.lit(0), *keys).alias("_g")  # a struct compares equal where its fields are null
-
-    values = df.select(group, F.posexplode(F.array(*[F.col(n).cast("double") for n in columns])).alias("_m", "_v"))
-    counts = values.filter("_v IS NOT NULL").groupBy("_g", "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
-
-    # Cuts only balance the load; any cuts give the same result. The filter on
-    # the count lets this branch and the next one share one shuffle.
-    step = stride(df)
-    ranges = step * step
-    fractions = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
-    sketch = F.expr(f"percentile_approx(_v, array({fractions}), {4 * ranges})")
-    cuts = counts.filter("_n > 0").agg(sketch.alias("_cuts"))
-    cuts = cuts.withColumn("_marks", F.filter("_cuts", lambda _, i: i % step == step - 1))
-    placed = counts.crossJoin(F.broadcast(cuts)).select(
-        "_g", "_m", "_v", "_n", _range_of(F.col("_v"), F.col("_cuts"), F.col("_marks"), step).alias("_r")
-    )
+def counted(df: DataFrame, brackets: DataFrame, keys: list[str], wanted: dict[str, list], small: bool) -> DataFrame:
+    """Rows per group, measure and cell (keys, _m, _c, _n); inside a bracket also per value (_v, null outside).
 
-    # At most one row per range for each group and measure.
-    in_group = Window.partitionBy("_g", "_m")
-    totals = (
-        placed.groupBy("_g", "_m", "_r")
-        .agg(F.sum("_n").alias("_rn"))
-        .select(
-            "_g", "_m", "_r", "_rn",
-            (F.sum("_rn").over(in_group.orderBy("_r")) - F.col("_rn")).alias("_before"),
-            F.sum("_rn").over(in_group).alias("_total"),
-        )
-    )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.lit(measure[column]).alias("m"), F.lit(float(p)).alias("p"))
-            for name, (column, p) in percentiles.items()
-        ]
-    )
-    position = F.col("_w.p") * (F.col("_total") - 1)
-
-    def holds(rank: Column, start: Column, rows: Column) -> Column:
-        return (rank >= start) & (rank < start + rows)
-
-    hits = (
-        totals.withColumn("_w", F.explode(wanted))
-        .filter(F.col("_w.m") == F.col("_m"))
-        .withColumn("_at", position)
-        .filter(
-            holds(F.floor("_at"), F.col("_before"), F.col("_rn"))
-            | holds(F.ceil("_at"), F.col("_before"), F.col("_rn"))
-        )
-        .groupBy("_g", "_m", "_r", "_before")
-        .agg(F.collect_list(F.struct(F.col("_w.name").alias("name"), F.col("_at").alias("at"))).alias("_ws"))
-    )
-    inside = Window.partitionBy("_g", "_m", "_r").orderBy("_v")
-    ordered = placed.join(hits, ["_g", "_m", "_r"]).withColumn(
-        "_start", F.col("_before") + F.sum("_n").over(inside) - F.col("_n")
-    )
-    found = ordered.withColumn("_w", F.explode("_ws")).select(
-        "_g",
-        F.col("_w.name").alias("_name"),
-        F.col("_w.at").alias("_at"),
-        F.when(holds(F.floor("_w.at"), F.col("_start"), F.col("_n")), F.col("_v")).alias("_low"),
-        F.when(holds(F.ceil("_w.at"), F.col("_start"), F.col("_n")), F.col("_v")).alias("_high"),
-    )
-    ends = (
-        found.filter("_low IS NOT NULL OR _high IS NOT NULL")
-        .groupBy("_g", "_name", "_at")
-        .agg(F.max("_low").alias("_low"), F.max("_high").alias("_high"))
-    )
-    part = F.col("_at") - F.floor("_at")
-    value = (1 - part) * F.col("_low") + part * F.col("_high")
-    one_row = ends.groupBy("_g").agg(
-        *[F.max(F.when(F.col("_name") == name, value)).alias(name) for name in percentiles]
+    The cells of a measure are the stretches between the ends of its brackets, numbered in the order of the values.
+    """
+    edges = brackets.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[f"_q_{column}" for column in wanted])
+    measures = {column: f"_v_{i}" for i, column in enumerate(wanted)}
+    values = df.select(*keys, *[F.col(column).cast("double").alias(name) for column, name in measures.items()])
+    # One row where there are no keys.
+    both = values.join(F.broadcast(edges) if small or not keys else edges, _same(keys, "_key_"))
+    entries = []
+    for i, (column, specs) in enumerate(wanted.items()):
+        value, ends = F.col(measures[column]), F.col(f"_q_{column}")
+        entered = sum(((ends[2 * j] <= value).cast("int") for j in range(len(specs))), F.lit(0))
+        left = sum(((ends[2 * j + 1] < value).cast("int") for j in range(len(specs))), F.lit(0))
+        cell = F.when(value.isNotNull(), entered + left)
+        entries.append(F.struct(F.lit(i).alias("_m"), cell.alias("_c"), F.when(entered > left, value).alias("_v")))
+    cells = both.select(*keys, F.inline(F.array(*entries))).filter("_c IS NOT NULL")
+    return cells.groupBy(*keys, "_m", "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _located(df: DataFrame, brackets: DataFrame, keys: list[str], wanted: dict[str, list], small: bool) -> DataFrame:
+    """The percentiles of every group that has values, and how many wanted ranks lie outside their brackets (_missed)."""
+    measure = Window.partitionBy(*keys, "_m")
+    running = measure.orderBy("_c", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted(df, brackets, keys, wanted, small).withColumns(
+        {"_start": F.sum("_n").over(running) - F.col("_n"), "_total": F.sum("_n").over(measure)}
     )
-    if keys:
-        return one_row.select(*[F.col(f"_g.{k}").alias(k) for k in keys], *percentiles)
-    return one_row.agg(*[F.max(name).alias(name) for name in percentiles])
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
+
+    ends, missed = [], F.lit(False)
+    for i, specs in enumerate(wanted.values()):
+        own = F.col("_m") == i
+        for name, p in specs:
+            at = F.lit(float(p)) * (F.col("_total") - 1)
+            low, high = own & holds(F.floor(at)), own & holds(F.ceil(at))
+            missed = missed | ((low | high) & F.col("_v").isNull())
+            ends += [
+                F.max(F.when(low, F.col("_v"))).alias(f"_low_{name}"), F.max(F.when(high, F.col("_v"))).alias(f"_high_{name}"),
+                F.max(F.when(own, at - F.floor(at))).alias(f"_part_{name}"),
+            ]
+    rows = placed.groupBy(*keys).agg(*ends, F.count_if(missed).alias("_missed"))
+
+    def value(name: str) -> Column:
+        part = F.col(f"_part_{name}")
+        return ((1 - part) * F.col(f"_low_{name}") + part * F.col(f"_high_{name}")).alias(name)
+
+    return rows.select(*keys, *[value(name) for specs in wanted.values() for name, _ in specs], "_missed")
 
 
 def approximate(df: DataFrame, keys: list[str], percentiles: Specs, accuracy: int = 10_000) -> DataFrame:

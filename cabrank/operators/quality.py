@@ -1,11 +1,10 @@
-"""Data-quality and load reports. Each report is one pass, however many columns it covers."""
+"""Data-quality and load reports. Each report reads its rows once, however many columns and rules it covers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cabrank.operators import aggregates as a
-from cabrank.operators.joins import anti_semi_check
 from cabrank.operators.sizing import lookup
 from cabrank.sources import schemas
 
@@ -96,28 +95,33 @@ def constraint_checks(
 
     A null satisfies a range rule and a foreign key, as in a database.
     """
-    single_pass = {f"range: {name}": ~F.expr(rule) for name, rule in (ranges or {}).items()}
-    single_pass.update({f"not null: {name}": F.col(name).isNull() for name in not_null})
-    reports = []
-    if single_pass:
-        columns = {f"_{i}": rule for i, rule in enumerate(single_pass)}
-        counts = df.agg(*[F.count_if(single_pass[rule]).alias(key) for key, rule in columns.items()])
-        long = counts.unpivot([], list(columns), "_key", "breaches")
-        names = F.create_map(*[F.lit(x) for pair in columns.items() for x in pair])
-        reports.append(long.select(names[F.col("_key")].alias("rule"), "breaches"))
-    for name in unique:
-        repeated = df.filter(F.col(name).isNotNull()).groupBy(name).agg(a.rows("_n")).filter("_n > 1")
-        reports.append(repeated.agg(F.lit(f"unique: {name}").alias("rule"), a.rows("breaches")))
+    broken = {f"range: {name}": ~F.expr(rule) for name, rule in (ranges or {}).items()}
+    broken.update({f"not null: {name}": F.col(name).isNull() for name in not_null})
+    rules = [*broken, *(f"unique: {name}" for name in unique), *(f"foreign key: {name}" for name in foreign or {})]
+    place = {rule: i for i, rule in enumerate(rules)}
+
+    # A row gives an entry to every rule it breaks, and its keys to the rules on keys; equal entries are counted where they are read.
+    def entry(rule: str, counts: Column, key: Column) -> Column:
+        return F.when(counts, F.struct(F.lit(place[rule]).alias("_rule"), key.cast("string").alias("_key")))
+
+    entries = [entry(rule, breach, F.lit(None)) for rule, breach in broken.items()]
+    entries += [entry(f"{kind}: {name}", F.col(name).isNotNull(), F.col(name)) for kind, names in (("unique", unique), ("foreign key", foreign or {})) for name in names]
+    given = F.array_compact(F.array(*entries))
+    counted = df.select(F.inline(given)).groupBy("_rule", "_key").agg(a.rows("_n"))
+
+    known = None
     for name, (dim, key) in (foreign or {}).items():
-        per_key = df.groupBy(name).agg(a.rows("_n"))
-        orphans = anti_semi_check(per_key, name, dim, key)
-        reports.append(
-            orphans.agg(F.lit(f"foreign key: {name}").alias("rule"), F.coalesce(F.sum("_n"), F.lit(0)).alias("breaches"))
-        )
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+        one = dim.select(F.lit(place[f"foreign key: {name}"]).alias("_rule"), F.col(key).cast("string").alias("_key")).distinct()
+        known = one if known is None else known.unionByName(one)
+    if known is not None:
+        counted = counted.join(lookup(known.withColumn("_known", F.lit(True))), ["_rule", "_key"], "left")
+    is_unique = F.col("_rule").isin([place[f"unique: {name}"] for name in unique]) if unique else F.lit(False)
+    is_known = F.col("_known").isNotNull() if known is not None else F.lit(False)
+    breaches = F.when(is_unique, (F.col("_n") > 1).cast("bigint")).when(is_known, F.lit(0)).otherwise(F.col("_n"))
+    found = counted.groupBy("_rule").agg(F.sum(breaches).alias("breaches"))
+    # One row per rule.
+    listed = df.sparkSession.createDataFrame([(i, rule) for rule, i in place.items()], "_rule int, rule string")
+    return listed.join(F.broadcast(found), "_rule", "left").select("rule", F.coalesce("breaches", F.lit(0)).cast("bigint").alias("breaches"))
 
 
 def load_report(flagged: DataFrame) -> DataFrame:

@@ -157,15 +157,16 @@ def revenue_by_service(rides: DataFrame) -> DataFrame:
 
 def zone_profitability(zones: DataFrame, rides: DataFrame) -> DataFrame:
     """Revenue per zone, driver and customer. Zones without completed rides do not appear."""
-    per_zone = completed_rides(rides).groupBy("pickup_zone_id").agg(
-        F.count("ride_id").alias("total_trips"),
-        a.total("total_fare", "_revenue"),
-        a.mean("total_fare", "_fare"),
-        a.mean("trip_distance", "_distance"),
-        a.mean("wait_time", "_wait"),
-        a.distinct("driver_id", "unique_drivers"),
-        a.distinct("customer_id", "unique_customers"),
-    )
+    sums = a.partial_sums("total_fare", "trip_distance", "wait_time")
+    cells = a.id_cells(completed_rides(rides), ["pickup_zone_id"], ["driver_id", "customer_id"], F.count("ride_id").alias("_n"), *sums)
+    per_zone = a.merged_ids(
+        cells, ["pickup_zone_id"], {"unique_drivers": "driver_id", "unique_customers": "customer_id"},
+        a.total("_n", "total_trips"),
+        a.total("_sum_total_fare", "_revenue"),
+        a.merged_mean("total_fare", "_fare"),
+        a.merged_mean("trip_distance", "_distance"),
+        a.merged_mean("wait_time", "_wait"),
+    )
     named = per_zone.join(lookup(zones), F.col("pickup_zone_id") == F.col("location_id"))
     return named.select(
         F.col("zone").alias("zone_name"), "area_type", "total_trips",

@@ -49,13 +49,14 @@ def surge_opportunities(
     ids; with ``unique_ids=False`` repeated ids are removed first.
     """
     recent = since(rides, as_of, days, "pickup_datetime")
-    demand = F.count("ride_id") if unique_ids else F.countDistinct("ride_id")
-    cells = recent.groupBy(hour_bucket("pickup_datetime").alias("hour"), "pickup_zone_id").agg(
-        demand.alias("demand"),
-        a.distinct("driver_id", "supply"),
-        a.mean("wait_time", "avg_wait"),
-        a.mean("total_fare", "avg_fare"),
-    )
+    keys = ["hour", "pickup_zone_id"]
+    ids = {"supply": "driver_id"} if unique_ids else {"supply": "driver_id", "demand": "ride_id"}
+    demand = [F.count("ride_id").alias("_n"), *a.partial_sums("wait_time", "total_fare")]
+    parts = a.id_cells(recent.withColumn("hour", hour_bucket("pickup_datetime")), keys, list(ids.values()), *demand)
+    cells = a.merged_ids(
+        parts, keys, ids, *([a.total("_n", "demand")] if unique_ids else []),
+        a.merged_mean("wait_time", "avg_wait"), a.merged_mean("total_fare", "avg_fare"),
+    )
     ratio = c.ratio("demand", "supply")
     advice = (
         F.when(ratio > 3, "High Surge Recommended")
@@ -72,13 +73,17 @@ def surge_opportunities(
 
 def hour_zone_ratio(rides: DataFrame, zones: DataFrame) -> DataFrame:
     """Rides per distinct driver by hour of day and zone name, over rides of any status."""
-    cells = _named(rides, zones).groupBy(F.hour("pickup_datetime").alias("hour"), "zone_name").agg(
-        F.count("ride_id").alias("demand"),
-        a.distinct("driver_id", "supply"),
-        a.mean("total_fare", "avg_fare"),
-        a.mean("surge_multiplier", "avg_surge"),
-        a.mean("wait_time", "avg_wait"),
-    )
+    sums = a.partial_sums("total_fare", "surge_multiplier", "wait_time")
+    hours = rides.withColumn("hour", F.hour("pickup_datetime"))
+    parts = a.id_cells(hours, ["hour", "pickup_zone_id"], ["driver_id"], F.count("ride_id").alias("_n"), *sums)
+    # Names meet one row per hour, zone and range of drivers; zones of the same name are merged, their drivers united.
+    cells = a.merged_ids(
+        _named(parts, zones), ["hour", "zone_name"], {"supply": "driver_id"},
+        a.total("_n", "demand"),
+        a.merged_mean("total_fare", "avg_fare"),
+        a.merged_mean("surge_multiplier", "avg_surge"),
+        a.merged_mean("wait_time", "avg_wait"),
+    )
     return cells.withColumn("demand_supply_ratio", F.col("demand") / c.clip("supply", lower=1))
 
 
@@ -124,8 +129,8 @@ def _weather_pairs(rides: DataFrame, weather: DataFrame, attribute: str) -> Data
 def weather_impact(rides: DataFrame, weather: DataFrame) -> DataFrame:
     """Rides, fare, surge, wait and spread of the fare by weather condition.
 
-    The spread is put together from the variance inside each cell and the
-    square of the cell's mean, so no ride is repeated and one pass is enough.
+    The spread is merged from (count, mean, squared deviations) of the cells: what a cell has inside it, and the
+    square of the distance of its mean from that of the condition. No difference of large sums is taken.
     """
     pairs = _weather_pairs(completed_rides(rides), weather, "weather_condition")
     reports = F.col("_reports")
@@ -137,11 +142,18 @@ def weather_impact(rides: DataFrame, weather: DataFrame) -> DataFrame:
         a.merged_mean("surge_multiplier", "avg_surge", reports),
         a.merged_mean("wait_time", "avg_wait_time", reports),
         F.sum(count).alias("_n"),
-        F.sum(count * (F.col("_var") + cell_mean * cell_mean)).alias("_squares"),
     )
-    squares = F.col("_squares") - F.col("_n") * F.col("avg_fare") * F.col("avg_fare")
-    variance = c.ratio(F.greatest(squares, F.lit(0.0)), F.col("_n") - 1)
-    return sums.withColumn("fare_stddev", F.sqrt(variance)).drop("_n", "_squares")
+    # One row per condition of a code list.
+    means = sums.select(F.col("weather_condition").alias("_condition"), F.col("avg_fare").alias("_mean"))
+    apart = cell_mean - F.col("_mean")
+    squares = (
+        pairs.join(lookup(means), F.col("weather_condition").eqNullSafe(F.col("_condition")))
+        .groupBy("_condition")
+        .agg(F.sum(count * (F.col("_var") + apart * apart)).alias("_squares"))
+    )
+    both = sums.join(squares, F.col("weather_condition").eqNullSafe(F.col("_condition")))
+    variance = c.ratio("_squares", F.col("_n") - 1)
+    return both.withColumn("fare_stddev", F.sqrt(variance)).drop("_n", "_squares", "_condition")
 
 
 def weather_surge_contrast(impact: DataFrame, bad=codes.BAD_WEATHER) -> DataFrame:
@@ -194,17 +206,20 @@ def ride_weekend_comparison(rides: DataFrame) -> DataFrame:
 
 
 def ride_zone_demand(rides: DataFrame, zones: DataFrame, k: int = 15) -> DataFrame:
-    grouped = _named(rides, zones, "area_type").groupBy("zone_name", "area_type").agg(
-        F.count("ride_id").alias("trip_count"),
-        a.mean("total_fare", "avg_fare"),
-        a.mean("wait_time", "avg_wait_time"),
-        a.mean("surge_multiplier", "avg_surge"),
+    measures = a.partial_sums("total_fare", "wait_time", "surge_multiplier")
+    per_id = rides.groupBy("pickup_zone_id").agg(F.count("ride_id").alias("_n"), *measures)
+    grouped = _named(per_id, zones, "area_type").groupBy("zone_name", "area_type").agg(
+        a.total("_n", "trip_count"),
+        a.merged_mean("total_fare", "avg_fare"),
+        a.merged_mean("wait_time", "avg_wait_time"),
+        a.merged_mean("surge_multiplier", "avg_surge"),
     )
     return ordering.top_k(grouped, k, F.desc("trip_count"), "zone_name", "area_type")
 
 
 def ride_area_demand(rides: DataFrame, zones: DataFrame) -> DataFrame:
-    return _named(rides, zones, "area_type").groupBy("area_type").agg(F.count("ride_id").alias("trip_count"))
+    per_id = rides.groupBy("pickup_zone_id").agg(F.count("ride_id").alias("_n"))
+    return _named(per_id, zones, "area_type").groupBy("area_type").agg(a.total("_n", "trip_count"))
 
 
 def daily_rides(rides: DataFrame) -> DataFrame:
@@ -238,12 +253,14 @@ def active_monitor(rides: DataFrame, as_of, interval: str = "4 hours") -> DataFr
 def zone_heatmap(rides: DataFrame, zones: DataFrame, as_of) -> DataFrame:
     """Rides, wait and drivers per zone in the last hour and quarter; zones without rides are kept."""
     quarter = F.col("pickup_datetime") >= c.moment(as_of) - F.expr("INTERVAL 15 minutes")
-    live = since_moment(rides, as_of, "1 hour").groupBy("pickup_zone_id").agg(
-        a.rows("trips_last_hour"),
-        a.count_where(quarter, "trips_last_15_min"),
-        a.mean("wait_time", "avg_wait_time"),
-        a.distinct("driver_id", "available_drivers"),
-    )
+    parts = a.id_cells(
+        since_moment(rides, as_of, "1 hour"), ["pickup_zone_id"], ["driver_id"],
+        a.rows("_n"), a.count_where(quarter, "_late"), *a.partial_sums("wait_time"),
+    )
+    live = a.merged_ids(
+        parts, ["pickup_zone_id"], {"available_drivers": "driver_id"},
+        a.total("_n", "trips_last_hour"), a.total("_late", "trips_last_15_min"), a.merged_mean("wait_time", "avg_wait_time"),
+    )
     counts = ["trips_last_hour", "trips_last_15_min", "available_drivers"]
     return (
         zones.join(live, F.col("location_id") == F.col("pickup_zone_id"), "left")

@@ -234,8 +234,8 @@ def benchmarks(trips: DataFrame) -> DataFrame:
         trips,
         [],
         [
-            a.distinct(F.when(in_rush, F.col("pickup_date")), "rush_hour_days"),
-            a.distinct("pickup_date", "total_days"),
+            a.distinct_days(F.when(in_rush, F.col("pickup_date")), "rush_hour_days"),
+            a.distinct_days("pickup_date", "total_days"),
         ],
         medians,
     )

@@ -176,6 +176,9 @@ def get_top_pickup_zones(trips: DataFrame, zones: DataFrame, n: int = 10, start=
     if end is not None:
         trips = trips.filter(F.col("pickup_date") <= c.moment(end).cast("date"))
     names = lookup(zones.select("location_id", F.col("zone").alias("zone_name"), "borough"))
-    grouped = trips.join(names, F.col("pickup_location_id") == F.col("location_id")).groupBy("zone_name", "borough")
-    counted = grouped.agg(a.rows(), a.mean("fare_amount", "avg_fare"), a.total("total_amount", "total_revenue"))
+    per_id = trips.groupBy("pickup_location_id").agg(a.rows("_n"), *a.partial_sums("fare_amount", "total_amount"))
+    named = per_id.join(names, F.col("pickup_location_id") == F.col("location_id")).groupBy("zone_name", "borough")
+    counted = named.agg(
+        a.total("_n", "trip_count"), a.merged_mean("fare_amount", "avg_fare"), a.total("_sum_total_amount", "total_revenue")
+    )
     return ordering.top_k(counted, n, F.desc("trip_count"), "zone_name", "borough")

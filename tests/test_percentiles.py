@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabrank.operators import percentiles as p
-from conftest import rows_of
+from conftest import plan_of, rows_of
 
 SPECS = {"p0": ("x", 0.0), "p10": ("x", 0.1), "p50": ("x", 0.5), "p95": ("x", 0.95), "p100": ("x", 1.0), "y50": ("y", 0.5)}
 
@@ -28,7 +28,7 @@ def assert_same(left, right):
 
 
 @pytest.mark.parametrize("shape", ["normal", "ties", "skewed", "constant", "tiny"])
-def test_ranges_equal_builtin_and_numpy(spark, shape):
+def test_brackets_equal_builtin_and_numpy(spark, shape):
     rng = random.Random(shape)
     draw = {
         "normal": lambda: rng.gauss(0, 50),
@@ -63,14 +63,28 @@ def test_no_keys_and_no_rows(spark):
     assert rows_of(p.grouped(empty, ["g"], [], {"m": ("x", 0.5)})) == []
 
 
-def test_ranges_follow_the_partitions(spark, bound):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    assert p.stride(bound.trips) == p.LEAST_STRIDE
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "40000")
-        assert p.stride(bound.trips) ** 2 >= 4 * 40_000
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+@pytest.mark.parametrize("accuracy, margin", [(3, 0), (10, 0), (50, 0.1), (10_000, 2)])
+def test_missed_ranks_are_counted_again(spark, accuracy, margin):
+    rng = random.Random(accuracy)
+    rows = [(rng.choice("ab"), rng.choice([rng.random(), float(rng.randint(0, 5))]), rng.gauss(0, 1)) for _ in range(3000)]
+    df = frame(spark, [*rows, (None, math.inf, -math.inf), ("c", -0.0, 0.0)])
+    builtin = df.groupBy("g").agg(*[F.percentile(column, share).alias(name) for name, (column, share) in SPECS.items()])
+    finite = df.filter("x < 1e9")
+    assert_same(by_group(p.grouped(finite, ["g"], [], SPECS, accuracy, margin)), by_group(builtin.filter("g IS NOT NULL")))
+
+
+def test_only_values_inside_the_brackets_are_shuffled(spark):
+    rng = random.Random(4)
+    df = frame(spark, [("a", rng.random(), None) for _ in range(40_000)])
+    wanted = {"x": [("p50", 0.5), ("p90", 0.9)]}
+    edges = [F.lit(v) for v in (0.499, 0.501, 0.899, 0.901)]
+    brackets = spark.range(1).select(F.lit("a").alias("g"), F.array(*edges).alias("_q_x"))
+    cells = p.counted(df, brackets, ["g"], wanted, True)
+    rows = cells.collect()
+    assert sum(r["_n"] for r in rows) == 40_000 and len(rows) < 300
+    assert sorted(r["_c"] for r in rows if r["_v"] is None) == [0, 2, 4]
+    plan = plan_of(cells).partition("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_approximate_is_within_its_rank_error(spark):
