@@ -10,6 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cabrank.operators import aggregates as a
+from cabrank.sources import storage
 
 SEGMENT_FEATURES = ("total_trips", "avg_fare", "avg_customer_rating", "avg_tips", "avg_route_efficiency")
 FARE_FEATURES = ("pickup_hour", "pickup_day_of_week", "trip_distance")
@@ -25,10 +26,52 @@ def segment_model(metrics: DataFrame, features=SEGMENT_FEATURES, k: int = 4, see
     return Pipeline(stages=stages).fit(metrics)
 
 
-def driver_segments(metrics: DataFrame, features=SEGMENT_FEATURES, k: int = 4, seed: int = 42) -> DataFrame:
-    """Drivers with their cluster number; drivers that lack a feature are left out."""
-    model = segment_model(metrics, features, k, seed)
-    return model.transform(metrics).drop("_features", "_scaled")
+#: Steps of the segment search at most; it ends where no centre moves any more.
+SEGMENT_STEPS = 25
+
+
+def _apart(point: Column, centre: list[float]) -> Column:
+    """Squared distance of a point from a centre."""
+    return sum(((point[i] - F.lit(float(v))) * (point[i] - F.lit(float(v))) for i, v in enumerate(centre)), F.lit(0.0))
+
+
+def _nearest(point: Column, centres: list[list[float]]) -> Column:
+    """Number of the nearest centre, of equal ones the first."""
+    distances = F.array(*[_apart(point, centre) for centre in centres])
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+
+def driver_segments(metrics: DataFrame, features=SEGMENT_FEATURES, k: int = 4, key: str = "driver_id", steps: int = SEGMENT_STEPS) -> DataFrame:
+    """Drivers with their cluster number (k-means over standardised features); drivers that lack a feature are left out.
+
+    The search does not depend on chance or on partitions. The first seed is the driver nearest to the mean of all, each further
+    one the driver farthest from the seeds so far; ties go to the smallest key. Each step is one grouped
+    aggregate over the points, which leaves k centres; a cluster that loses its last driver keeps its centre.
+    """
+    whole = metrics.dropna(subset=list(features))
+    moments = whole.agg(*[f(n).alias(f"{name}_{i}") for i, n in enumerate(features) for name, f in (("mean", F.avg), ("spread", F.stddev_samp))]).first()
+
+    def standard(i: int, name: str) -> Column:
+        mean, spread = moments[f"mean_{i}"], moments[f"spread_{i}"]
+        return (F.col(name) - F.lit(mean)) / F.lit(spread) if spread else F.lit(0.0)
+
+    point = F.array(*[standard(i, name).cast("double") for i, name in enumerate(features)])
+    points = storage.kept(whole.select(F.col(key).alias("key"), point.alias("point")))
+    place = F.col("point")
+    first = points.orderBy(_apart(place, [0.0] * len(features)), "key").first()
+    if first is None:
+        return whole.withColumn("cluster", F.lit(None).cast("int"))
+    centres = [list(first.point)]
+    while len(centres) < k:
+        far = F.least(*[_apart(place, c) for c in centres], F.lit(float("inf")))
+        centres.append(list(points.orderBy(far.desc(), "key").first().point))
+    for _ in range(steps):
+        means = points.groupBy(_nearest(place, centres).alias("cluster")).agg(*[F.avg(place[i]).alias(f"_{i}") for i in range(len(features))])
+        moved = {r.cluster: [r[f"_{i}"] for i in range(len(features))] for r in means.collect()}
+        before, centres = centres, [moved.get(i, centre) for i, centre in enumerate(centres)]
+        if before == centres:
+            break
+    return whole.withColumn("cluster", _nearest(point, centres))
 
 
 def segment_profile(segments: DataFrame, features=SEGMENT_FEATURES) -> DataFrame:

@@ -123,4 +123,6 @@ DAY = """CASE pickup_day_of_week WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday' WHEN
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 PERIOD = """avg(fare_amount) AS avg_fare, avg(trip_distance) AS avg_distance,
   avg(trip_duration_minutes) AS avg_duration, avg(trip_speed_mph) AS avg_speed, avg(tip_percentage) AS avg_tip_pct"""
+# Computed columns of a trip.
+DERIVED_FLOATS = "trip_duration_minutes trip_speed_mph fare_per_mile tip_percentage"
 PERIOD_FLOATS = "avg_fare avg_distance avg_duration avg_speed avg_tip_pct"

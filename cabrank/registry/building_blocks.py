@@ -8,7 +8,7 @@ from cabrank.functions import columns as c
 from cabrank.functions.sql import register_functions
 from cabrank.operators import aggregates as a, clean, joins, ml, ordering, percentiles, quality, setops, windows
 from cabrank.plans import ride_drivers
-from cabrank.registry.base import AS_OF, BAND, DAY, PART, PAYMENT, RATE, add
+from cabrank.registry.base import AS_OF, BAND, DAY, PART, PAYMENT, RATE, add, DERIVED_FLOATS
 from cabrank.registry.storage_queries import raw_dialect
 
 # --- cleaning ---------------------------------------------------------------
@@ -62,7 +62,6 @@ DERIVED = [
     "trip_key", "total_amount", "pickup_hour", "pickup_day_of_week", "pickup_month", "pickup_year", "pickup_date",
     "is_weekend", "trip_duration_minutes", "trip_speed_mph", "fare_per_mile", "tip_percentage",
 ]
-DERIVED_FLOATS = "trip_duration_minutes trip_speed_mph fare_per_mile tip_percentage"
 
 add("enrich_trips", lambda b: clean.enrich_trips(b.trips_raw).select(*DERIVED),
     f"SELECT {', '.join(DERIVED)} FROM trips_all", DERIVED_FLOATS)
@@ -506,15 +505,61 @@ def metrics(b) -> DataFrame:
     return ride_drivers.driver_metrics(b.drivers, b.rides)
 
 
+def segments_sql(k: int = 4, steps: int = ml.SEGMENT_STEPS) -> str:
+    """The same search step by step: seeds s, distances, assignments and centres c of each step."""
+    dims = range(len(ml.SEGMENT_FEATURES))
+    between = lambda one, other: " + ".join(f"({one}f{i} - {other}f{i}) * ({one}f{i} - {other}f{i})" for i in dims)
+    columns = ", ".join(f"f{i}" for i in dims)
+    parts = [
+        """m AS MATERIALIZED (
+  SELECT driver_id, count(*) AS total_trips, avg(total_fare) AS avg_fare, avg(customer_rating) AS avg_customer_rating, avg(tips) AS avg_tips,
+    avg(route_efficiency) AS avg_route_efficiency, sum(total_fare) AS total_revenue FROM completed GROUP BY 1)""",
+        "z AS MATERIALIZED (SELECT driver_id, "
+        + ", ".join(f"(CAST({n} AS DOUBLE) - (SELECT avg({n}) FROM m)) / (SELECT stddev_samp({n}) FROM m) AS f{i}" for i, n in enumerate(ml.SEGMENT_FEATURES))
+        + " FROM m)",
+        f"s0 AS MATERIALIZED (SELECT 0 AS cluster, {columns} FROM z ORDER BY {' + '.join(f'f{i} * f{i}' for i in dims)}, driver_id LIMIT 1)",
+    ]
+    for n in range(1, k):
+        seeds = " UNION ALL ".join(f"SELECT {columns} FROM s{i}" for i in range(n))
+        parts.append(
+            f"s{n} AS MATERIALIZED (SELECT {n} AS cluster, {columns} FROM (SELECT z.*, (SELECT min({between('z.', 's.')}) FROM ({seeds}) s) AS far FROM z)"
+            " ORDER BY far DESC, driver_id LIMIT 1)"
+        )
+    parts.append("c0 AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT cluster, {columns} FROM s{i}" for i in range(k)) + ")")
+    for n in range(steps + 1):
+        parts.append(
+            f"a{n} AS MATERIALIZED (SELECT driver_id, min(struct_pack(far := {between('z.', 'c.')}, cluster := c.cluster)).cluster AS cluster"
+            f" FROM z CROSS JOIN c{n} c GROUP BY driver_id)"
+        )
+        means = ", ".join(f"coalesce(avg(z.f{i}), any_value(c.f{i})) AS f{i}" for i in dims)
+        parts.append(f"c{n + 1} AS MATERIALIZED (SELECT c.cluster, {means} FROM c{n} c LEFT JOIN a{n} USING (cluster) LEFT JOIN z USING (driver_id) GROUP BY c.cluster)")
+    return ",\n".join(parts) + f",\nfound AS (SELECT m.*, CAST(cluster AS INT) AS cluster FROM m JOIN a{steps} USING (driver_id))"
+
+
+SEGMENT_FLOATS = "avg_fare avg_customer_rating avg_tips avg_route_efficiency total_revenue"
 add("driver_segments", lambda b: ml.driver_segments(metrics(b)).select(
-    "driver_id", "driver_name", *ml.SEGMENT_FEATURES, "total_revenue", "cluster"))
+    "driver_id", "driver_name", *ml.SEGMENT_FEATURES, "total_revenue", "cluster"), f"""
+WITH {segments_sql()}
+SELECT driver_id, first_name || ' ' || last_name AS driver_name, {", ".join(ml.SEGMENT_FEATURES)}, total_revenue, cluster
+FROM found LEFT JOIN (SELECT driver_id, first_name, last_name FROM drivers) USING (driver_id)
+""", SEGMENT_FLOATS)
 
 
 def profiled(b) -> DataFrame:
     return ml.segment_profile(ml.driver_segments(metrics(b)))
 
 
-add("segment_profile", profiled)
+add("segment_profile", profiled, f"""
+WITH {segments_sql()},
+p AS (
+  SELECT cluster, avg(total_trips) AS total_trips, avg(avg_fare) AS avg_fare, avg(avg_customer_rating) AS avg_customer_rating,
+    avg(avg_tips) AS avg_tips, avg(avg_route_efficiency) AS avg_route_efficiency, avg(total_revenue) AS total_revenue,
+    count(*) AS driver_count FROM found GROUP BY 1),
+o AS (SELECT avg(total_trips) AS trips, avg(avg_customer_rating) AS rating, avg(avg_tips) AS tips, avg(total_revenue) AS revenue FROM p)
+SELECT p.*, CASE WHEN avg_customer_rating > rating AND avg_tips > tips THEN 'Premium Service'
+  WHEN total_trips > trips THEN 'High Volume Drivers' WHEN total_revenue < revenue THEN 'Underperformers'
+  ELSE 'Standard Performers' END AS segment FROM p CROSS JOIN o
+""", "total_trips " + SEGMENT_FLOATS)
 
 
 def nearest_centres(b) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cabrank.operators import aggregates as a, clean, joins, quality
 from cabrank.plans import trip_business, trip_views
-from cabrank.registry.base import add
+from cabrank.registry.base import DERIVED_FLOATS, add
 from cabrank.registry.trip_reports import MONTHLY, MONTHLY_FLOATS
 from cabrank.sources import schemas, storage
 
@@ -58,6 +58,36 @@ FROM trips_raw WHERE trip_type = '{_kind}'
 """)
 
 
+#: What is wrong with every so many lines: a number that is none, a value too few, a value too many.
+FAULTS = {3: "x", 5: None, 7: "1,1"}
+
+
+def checked_csv(b) -> DataFrame:
+    """Trips as text with broken lines among them, read back: accepted rows with their values, rejected ones by their line."""
+    path = storage.scratch_path(b.spark, "broken")
+    line = F.concat_ws(",", "trip_key", "trip_type", F.coalesce(F.col("passenger_count").cast("string"), F.lit("")), "trip_distance")
+    for every, last in FAULTS.items():
+        start = F.concat_ws(",", "trip_key", "trip_type", F.lit("1"))
+        line = F.when(F.col("trip_key") % every == 0, start if last is None else F.concat_ws(",", start, F.lit(last))).otherwise(line)
+    # Every part of the folder is a file with a header of its own.
+    rows = b.trips_raw.select(line.alias("trip_key,trip_type,passenger_count,trip_distance"))
+    rows.write.option("header", True).option("quote", "").option("escapeQuotes", False).option("sep", "\u0001").csv(path)
+    accepted, rejected = storage.read_csv_checked(b.spark, path, "trip_key bigint, trip_type string, passenger_count int, trip_distance double")
+    lost = rejected.select(
+        F.split(storage.BROKEN, ",")[0].cast("bigint").alias("trip_key"), F.lit(None).cast("string").alias("trip_type"),
+        F.lit(None).cast("int").alias("passenger_count"), F.lit(None).cast("double").alias("trip_distance"),
+    )
+    return accepted.withColumn("status", F.lit("accepted")).unionByName(lost.withColumn("status", F.lit("rejected")))
+
+
+add("read_csv_checked", checked_csv, """
+WITH b AS (SELECT *, trip_key % 3 = 0 OR trip_key % 5 = 0 OR trip_key % 7 = 0 AS bad FROM trips_raw)
+SELECT trip_key, CASE WHEN NOT bad THEN trip_type END AS trip_type, CASE WHEN NOT bad THEN passenger_count END AS passenger_count,
+  CASE WHEN NOT bad THEN trip_distance END AS trip_distance, CASE WHEN bad THEN 'rejected' ELSE 'accepted' END AS status
+FROM b
+""")
+
+
 def table_or_fallback(b) -> DataFrame:
     name = f"curated_{uuid.uuid4().hex}"
     storage.create_views(**{name: wide(b.trips)})
@@ -66,7 +96,7 @@ def table_or_fallback(b) -> DataFrame:
     return found
 
 
-add("read_table", lambda b: table_or_fallback(b).select(*CORE), f"SELECT {CORE_SQL} FROM trips")
+add("read_table", table_or_fallback, "SELECT * FROM trips", DERIVED_FLOATS)
 
 
 def partitioned_round_trip(b) -> DataFrame:
@@ -75,7 +105,7 @@ def partitioned_round_trip(b) -> DataFrame:
     return b.spark.read.parquet(path)
 
 
-add("write_partitioned", lambda b: partitioned_round_trip(b).select(*CORE), f"SELECT {CORE_SQL} FROM trips")
+add("write_partitioned", partitioned_round_trip, "SELECT * FROM trips", DERIVED_FLOATS)
 
 
 def combined_sample(b) -> DataFrame:
@@ -88,9 +118,9 @@ def combined_sample(b) -> DataFrame:
     return sample.crossJoin(F.broadcast(total))
 
 
-add("write_combined_sample", lambda b: combined_sample(b).select(*CORE, "written_rows"), f"""
-SELECT {CORE_SQL}, (SELECT count(*) FROM trips) AS written_rows FROM trips ORDER BY {CORE_SQL} LIMIT 10000
-""")
+add("write_combined_sample", combined_sample, f"""
+SELECT *, (SELECT count(*) FROM trips) AS written_rows FROM trips ORDER BY {CORE_SQL} LIMIT 10000
+""", DERIVED_FLOATS)
 
 
 def new_warehouse(b) -> str:
@@ -144,14 +174,17 @@ def json_round_trip(b) -> DataFrame:
     return b.spark.read.schema(b.rides.schema).json(path)
 
 
-RIDE_CORE = ["ride_id", "driver_id", "pickup_datetime", "total_fare", "trip_status"]
-add("json_sink", lambda b: json_round_trip(b).select(*RIDE_CORE), "SELECT ride_id, driver_id, pickup_datetime, total_fare, trip_status FROM rides")
+add("json_sink", json_round_trip, "SELECT * FROM rides")
 
 
 def load_and_verify(b) -> DataFrame:
+    """A verified load that is repeated: what is there then, and how many of its batches differ from the source."""
     path = storage.scratch_path(b.spark, "load")
-    storage.write_partitioned(b.trips_all, path, by=["pickup_year", "pickup_month"])
-    return quality.load_report(b.spark.read.parquet(path))
+    for _ in range(2):
+        checked = storage.load_verified(b.trips_all, path)
+    failed = checked.agg(a.count_where(~F.col("verified"), "failed_batches"), F.sum("loaded_rows").alias("checked_rows"))
+    loaded = storage.loaded_rows(b.spark, path, b.trips_all.schema)
+    return quality.load_report(loaded).crossJoin(F.broadcast(failed))
 
 
 LOAD_REPORT = """
@@ -161,7 +194,9 @@ SELECT count(*) AS total_trips, count(*) FILTER (is_valid_trip) AS valid_trips,
   round((count(*) FILTER (is_valid_trip) * 100.0 / count(*))::DECIMAL(30,9), 1)::DOUBLE AS valid_pct
 FROM trips_all
 """
-add("jdbc_load_verify", load_and_verify, LOAD_REPORT)
+add("jdbc_load_verify", load_and_verify, f"""
+SELECT *, CAST(0 AS BIGINT) AS failed_batches, total_trips AS checked_rows FROM ({LOAD_REPORT})
+""")
 add("load_report", lambda b: quality.load_report(b.trips_all), LOAD_REPORT)
 
 

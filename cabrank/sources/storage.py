@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window, functions as F
 
 from cabrank.operators.ordering import sort_for_layout
@@ -57,6 +58,24 @@ def read_csv_header(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+#: Column with the line of a record that could not be read.
+BROKEN = "_broken_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """CSV with a header line as (accepted rows, rejected lines).
+
+    A line is rejected as a whole if a value does not fit its type or if it has too few or too many values;
+    it is kept as it stands in the column ``BROKEN``. An empty value is a null, not an error.
+    """
+    reader = spark.read.schema(f"{schema}, {BROKEN} string").option("header", True).option("mode", "PERMISSIVE")
+    # Without pruning every line is parsed in full, so the result does not depend on the columns that are asked for.
+    rows = reader.option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", False).csv(path)
+    # Spark refuses to read nothing but the broken lines, so the other columns are always asked for too.
+    parsed = F.length(F.concat_ws("", *[n for n in rows.columns if n != BROKEN])) >= 0
+    return rows.filter(F.col(BROKEN).isNull() & parsed).drop(BROKEN), rows.filter(F.col(BROKEN).isNotNull() & parsed)
+
+
 def read_table(spark: SparkSession, names: Iterable[str], schema: str) -> DataFrame:
     """The first of the named tables or views that exists, else an empty frame of the schema."""
     for name in names:
@@ -84,12 +103,31 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite", by: str
 
 
 def write_combined_sample(df: DataFrame, path: str, sample_path: str, rows: int = 10_000) -> None:
-    """All rows as Parquet laid out by pickup time, and the first rows by pickup time as one CSV file."""
+    """All rows as Parquet laid out by pickup time, and the first rows by pickup time as one CSV file.
+
+    The sample comes from the files just written, of which only those are read that begin before its last row.
+    """
     sort_for_layout(df).write.mode("overwrite").parquet(path)
-    first = first_rows(df, rows)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    files = files_with_first(written, rows)
+    first = df.sparkSession.read.schema(df.schema).parquet(*files) if files else written
+    others = [n for n in df.columns if n != "pickup_datetime"]
+    first = first.orderBy("pickup_datetime", *others).limit(rows)
     first.coalesce(1).write.mode("overwrite").option("header", True).csv(sample_path)
 
 
+def files_with_first(written: DataFrame, rows: int, order: str = "pickup_datetime") -> list[str]:
+    """The files, laid out by ``order``, that hold its first rows; a column of theirs is read, and one row per file is ordered."""
+    spans = written.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(order).alias("least"), F.max(order).alias("most"), F.count(F.lit(1)).alias("n"), F.count(order).alias("timed")
+    )
+    start = F.when(F.col("n") == F.col("timed"), F.col("least"))  # null, which comes first, where a row has no time
+    ordered = Window.orderBy(F.col("start").asc_nulls_first(), "file")
+    running = spans.withColumn("start", start).withColumn("before", F.sum("n").over(ordered) - F.col("n"))
+    last = running.filter(F.col("before") < rows).agg(F.max("most")).scalar()
+    return [r.file for r in running.filter((F.col("before") < rows) | (F.col("start") <= last)).select("file").collect()]
+
+
 def first_rows(df: DataFrame, rows: int = 10_000) -> DataFrame:
     """The first rows by pickup time; equal times are ordered by the other columns.
 
@@ -149,6 +187,54 @@ def json_sink(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+# --- verified loads ---------------------------------------------------------
+
+
+def batch_sums(df: DataFrame, *by: str) -> DataFrame:
+    """Rows and an order-free checksum per group: a changed, a lost and a doubled row each change it."""
+    columns = [n for n in df.columns if n not in by]
+    content = F.xxhash64(*columns).cast("decimal(38,0)")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum(content).alias("checksum"))
+
+
+def load_verified(df: DataFrame, path: str, batches: int = 16) -> DataFrame:
+    """Load rows into ``path`` in batches by their content, compare every batch with its source, and return the comparison.
+
+    The manifest beside the rows holds what every batch should have. A load that is repeated, as after a failure, looks at what is
+    there and writes only the batches that are missing or differ, so it adds nothing twice.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn("batch", F.pmod(F.xxhash64(*df.columns), F.lit(batches)).cast("int"))
+    kept(batch_sums(rows, "batch")).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+    report = verify_load(spark, path, df.schema)
+    wrong = [r.batch for r in report.filter("NOT verified").select("batch").collect()]  # at most as many as batches
+    if wrong:
+        again = rows.filter(F.col("batch").isin(wrong)).hint("rebalance", "batch")
+        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{path}/rows")
+        report = verify_load(spark, path, df.schema)
+    return report
+
+
+def loaded_rows(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of a verified load; none before the first batch is written."""
+    try:
+        return spark.read.schema(schema).option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def verify_load(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What the manifest expects of every batch, and what is there: batch, rows, loaded_rows, verified."""
+    with_batch = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, batch int"
+    there = batch_sums(loaded_rows(spark, path, with_batch), "batch").toDF("batch", "loaded_rows", "loaded_checksum")
+    both = spark.read.parquet(f"{path}/manifest").join(there, "batch", "full")
+    same = F.col("rows").eqNullSafe(F.col("loaded_rows")) & F.col("checksum").eqNullSafe(F.col("loaded_checksum"))
+    counts = [F.coalesce(n, F.lit(0)).alias(n) for n in ("rows", "loaded_rows")]
+    return both.select("batch", *counts, same.alias("verified"))
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 50_000, **options: str) -> None:
     """Load a database table in batches, in parallel from the executors."""
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize=str(batch_rows), **options).mode("append").save()

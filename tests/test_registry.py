@@ -12,7 +12,7 @@ from cabrank.sources import bindings
 from conftest import SMALL
 
 QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
-ROWS_ONLY = {"driver_segments", "segment_profile"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
