@@ -4,7 +4,7 @@ Only lengths leave the Python workers. A text may be cut where a character that
 not white space is followed by one that is: byte-level pre-tokens never reach
 across such a place, and special strings hold no white space, so the lengths of
 the pieces add up to the length of the whole text. Texts are packed into batches
-of equal size, long ones in several parts. Within a batch the segments between
+of equal size in UTF-8 bytes, long ones in several parts. Within a batch the segments between
 safe places are counted once each, and lengths are remembered from batch to batch
 up to a fixed number of segments.
 
@@ -30,7 +30,7 @@ from cabrank.llm.common import text_of
 WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 SAFE = re.compile(f"[^{WHITE}](?=[{WHITE}])")
-#: Characters of text in a batch, and segments whose length is remembered.
+#: Bytes of text in a batch, and segments whose length is remembered.
 BATCH = 1 << 20
 REMEMBERED = 200_000
 LIMIT = 1024
@@ -48,11 +48,19 @@ def load(path: str):
     return tokenizer, {}
 
 
+def bytes_in(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 def parts(text: str, size: int) -> Iterator[str]:
-    """The text in parts of about ``size`` characters, cut at safe places only."""
-    start = 0
-    while len(text) - start > size:
-        found = SAFE.search(text, start + size - 1)
+    """The text in parts of about ``size`` bytes, cut at safe places only."""
+    start, step = 0, max(1, size // 32)
+    while len(text) - start > step:
+        end, held = start, 0
+        while end < len(text) and held < size:
+            held += bytes_in(text[end : end + step])
+            end += step
+        found = SAFE.search(text, end - 1) if end < len(text) else None
         if not found:
             break
         yield text[start : found.end()]
@@ -61,12 +69,12 @@ def parts(text: str, size: int) -> Iterator[str]:
 
 
 def batches(texts: Iterable[str], size: int) -> Iterator[list[tuple[int, str]]]:
-    """(number of the text, part) in batches of about ``size`` characters."""
+    """(number of the text, part) in batches of about ``size`` bytes."""
     batch, held = [], 0
     for number, text in enumerate(texts):
         for part in parts(text, size):
             batch.append((number, part))
-            held += len(part)
+            held += bytes_in(part)
             if held >= size:
                 yield batch
                 batch, held = [], 0

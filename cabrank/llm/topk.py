@@ -30,6 +30,8 @@ from cabrank.llm.common import saved
 K, EVERY, SCALE = 10, 100, 1024
 LEAF = 128
 SHARD, LEAST_SHARD = 65_536, 4_096
+#: Bytes the components of a shard may have on average, as whole numbers; shards of long vectors hold fewer of them.
+SHARD_BYTES = 1 << 26
 BLOCK = 16_384
 EXACT = 2**53
 FOUND = "query_row long, query_id long, kth long, row long, vec_id long, score long"
@@ -142,13 +144,15 @@ def numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, shard: int = SHARD) -> DataFrame:
+def top_k(
+    embeddings: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, shard: int = SHARD, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of every row whose vec_id is divisible by ``every``."""
     spark = embeddings.sparkSession
     vectors = saved(quantised(embeddings, scale))
     asking = (F.col("vec_id") % every == 0) & F.col("vec_id").isNotNull()
-    n, asked = vectors.agg(F.count("*"), F.count(F.when(asking, 1))).first()
-    shards = max(1, math.ceil(n / shard), min(spark.sparkContext.defaultParallelism, math.ceil(n / LEAST_SHARD)))
+    n, asked, components = vectors.agg(F.count("*"), F.count(F.when(asking, 1)), F.coalesce(F.sum(F.size("v")), F.lit(0))).first()
+    shards = max(1, math.ceil(n / shard), math.ceil(8 * components / shard_bytes), min(spark.sparkContext.defaultParallelism, math.ceil(n / LEAST_SHARD)))
     blocks = max(1, math.ceil(asked / BLOCK))
     vectors = vectors.select("row", "vec_id", "v", F.size("v").alias("d"), F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"))
     # A null vec_id becomes a flag: pandas would turn the whole column into floating-point numbers.

@@ -130,8 +130,39 @@ def test_classifier_on_held_out_labels(spark):
     assert len(held) > 40 and right.mean() > 0.95 and right[held["quality"] == 0].mean() > 0.8
 
 
-def test_model_is_the_textbook_one():
-    """Scores against the densities written out, on the same moments."""
+def test_scores_are_those_of_two_normal_densities(spark):
+    """Shrunk covariances, log-determinants and Mahalanobis distances written out with numpy alone."""
+    rnd = np.random.default_rng(6)
+    n, size = 300, quality.SIZE
+    label = (rnd.random(n) < 0.6).astype(int)
+    x = rnd.normal(size=(n, size)) @ rnd.normal(size=(size, size)) + 3
+    x[label == 0] = x[label == 0] * 1.7 - 1
+    features = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "doc_id long, x array<double>")
+    labels = spark.createDataFrame([(i, int(k)) for i, k in enumerate(label)], "doc_id long, quality int")
+    model = quality.fit(features, labels, shrinkage=0.2, ridge=0.01)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    density = []
+    for k in (0, 1):
+        own = z[label == k]
+        weight = max(0.2, size / (size + len(own)))
+        covariance = (1 - weight) * np.cov(own.T, ddof=0) + weight * np.cov(z.T, ddof=0) + 0.01 * np.eye(size)
+        away = z - own.mean(axis=0)
+        distance = np.einsum("ij,ij->i", away, np.linalg.solve(covariance, away.T).T)
+        density.append(np.log(np.mean(label == k)) - 0.5 * np.linalg.slogdet(covariance)[1] - 0.5 * distance)
+    expected = 1 / (1 + np.exp(np.clip(density[0] - density[1], -500, 500)))
+    assert model.score(x) == pytest.approx(expected, abs=1e-6) and 0.02 < expected.std()
+
+
+def test_long_vectors_make_more_shards(spark):
+    rnd = np.random.default_rng(2)
+    rows = [(i * 25, [float(v) for v in rnd.normal(size=60)]) for i in range(120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    whole = sorted(map(tuple, topk.top_k(frame).collect()))
+    assert len(whole) == 300 and sorted(map(tuple, topk.top_k(frame, shard_bytes=60 * 8 * 20).collect())) == whole
+
+
+def test_sums_of_the_model():
+    """Counts, sums and products of each class."""
     rnd = np.random.default_rng(1)
     rows = rnd.normal(size=(400, quality.SIZE))
     label = (rnd.random(400) < 0.7).astype(int)

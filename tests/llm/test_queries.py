@@ -7,12 +7,15 @@ import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
+import tokenizers
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from cabrank.llm import bpe, queries
 from conftest import SMALL
 from test_duplicates import near, slow_fingerprint, union_find
+from test_models import slow_targets
 from test_near_copies import expected as similar_groups
 from test_registry import table
 
@@ -70,6 +73,46 @@ def test_simhash_query(spark, duck):
     assert sorted(map(tuple, queries.op8_simhash(spark, SMALL).collect())) == expected
 
 
+def test_token_count_query(spark, duck):
+    tokenizer = tokenizers.Tokenizer.from_file(public_tokenizers.path(queries.VOCABULARY))
+    expected = []
+    for i, text in duck.sql("SELECT doc_id, coalesce(text, '') FROM documents").fetchall():
+        n = len(tokenizer.encode(text, add_special_tokens=False))
+        expected.append((i, len(text.encode()), n, n > 1024))
+    assert sorted(map(tuple, queries.op6_token_counts(spark, SMALL).collect())) == sorted(expected)
+
+
+def test_mixing_query(spark, duck):
+    sizes = {i: (source, len((text or "").encode().split())) for i, source, text in duck.sql("SELECT doc_id, source, text FROM documents").fetchall()}
+    words = collections.Counter()
+    for source, n in sizes.values():
+        words[source] += n
+    targets, taken = slow_targets(words), collections.Counter()
+    rows = queries.op7_source_mixing(spark, SMALL).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(sizes)
+    for r in rows:
+        source, n = sizes[r.doc_id]
+        assert (r["size"], r.source_size) == (n, words[source]) and r.target == pytest.approx(targets[source])
+        assert 0 <= r.taken <= 2 * n
+        taken[source] += r.taken
+    assert all(abs(taken[s] - t) <= max(50, 0.02 * words[s]) for s, t in targets.items())
+
+
+CLASHING = ["content", "digest", "keep_id", "score", "node", "root", "row", "place", "copies", "size", "keys", "order", "frequent"]
+
+
+def test_stages_on_empty_tables_and_with_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    few = docs.where("doc_id % 9 = 0").withColumns({name: F.lit(name) for name in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), SMALL).collect() == [] and stage(spark, docs.limit(0), SMALL).columns == docs.columns
+        kept = stage(spark, few, SMALL)
+        rows = kept.collect()
+        assert kept.columns == few.columns and rows and all(r[c] == c for r in rows for c in CLASHING), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SMALL).collect() == []
+    assert corpus_pipeline.STAGES[-1][1](spark, few, SMALL).count() == few.count()
+
+
 def test_pipeline(spark, duck, library):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "exact_dedup", "simhash_near_dedup", "source_mixing", "byte_bpe",

@@ -101,6 +101,18 @@ def test_parts_lose_nothing_and_are_cut_where_it_is_safe():
         assert all(not a[-1].isspace() and b[0].isspace() for a, b in zip(parts, parts[1:]))
 
 
+def test_batches_are_even_in_bytes():
+    letter = "\U0001F600"
+    texts = ["word " * 4000, f"{letter} " * 4000, f"é{letter} " * 3000, "", "x"] * 3
+    batches = list(token_counts.batches(texts, 5000))
+    sizes = [sum(token_counts.bytes_in(part) for _, part in batch) for batch in batches]
+    assert max(sizes) < 2 * 5000 + 5000 // 8 + 10 and min(sizes[:-1]) >= 5000
+    whole = [""] * len(texts)
+    for number, part in (x for batch in batches for x in batch):
+        whole[number] += part
+    assert whole == texts
+
+
 def test_count_tables(spark):
     docs = spark.createDataFrame([(1, "é a", "", "", ""), (1, "é a", "", "", ""), (None, None, "", "", ""), (2, "x " * 2000, "", "", "")], DOCS)
     found = token_counts.count_tokens(docs, VOCABULARY)
