@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from cabrank.llm.common import saved, text_of
 
 THRESHOLD = 0.8
-#: Sizes of templates are broadcast up to this number, which is counted before.
+#: Templates and their sizes are broadcast up to this number of sizes, which is counted before.
 BROADCAST_SIZES = 200_000
 #: Marks are listed in the plan up to this number; with more of them, every text is cut.
 LISTED = 10_000
@@ -165,7 +165,7 @@ def scan(documents: DataFrame, known: DataFrame | None = None, threshold: float
     if not n:
         return found
     found = saved(found)
-    over = runs(texts, known, marks, listed, threshold)
+    over = runs(texts, F.broadcast(known) if n <= BROADCAST_SIZES else known, marks, listed, threshold)
     same = F.col("o.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("o.license") == F.col("f.license"))
     more = over.alias("o").join(found.alias("f"), same, "left_anti").select("doc_id", "license", "dice", F.lit(1).cast("long").alias("n_units"))
     return found.unionByName(more)
