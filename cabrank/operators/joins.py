@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cabrank.functions import columns as c
 from cabrank.operators.sizing import lookup
+from cabrank.sources.storage import kept
 
 # Columns whose values come from a fixed code list.
 CODE_COLUMNS = {"trip_type", "payment_type", "rate_code_id", "vendor_id", "store_and_fwd_flag"}
@@ -107,11 +108,13 @@ def cross_join_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 def stats_join_by_key(df: DataFrame, stats: DataFrame, key: str = "trip_type") -> DataFrame:
     """Attach per-key statistics, at most one row per key.
 
-    A code column has the entries of a fixed list, so its statistics are counted first and broadcast while there are
-    no more than ``MOST_CODES`` of them. Any other key, or a longer list, is joined as Spark sees fit.
+    A code column has the entries of a fixed list, so its statistics are computed first, kept and counted, and broadcast while there
+    are no more than ``MOST_CODES`` of them. Any other key, or a longer list, is joined as Spark sees fit.
     """
-    few = key in CODE_COLUMNS and stats.select(key).limit(MOST_CODES + 1).count() <= MOST_CODES
-    return df.join(F.broadcast(stats) if few else stats, key)
+    if key not in CODE_COLUMNS:
+        return df.join(stats, key)
+    stats = kept(stats)
+    return df.join(F.broadcast(stats) if stats.limit(MOST_CODES + 1).count() <= MOST_CODES else stats, key)
 
 
 def anti_semi_check(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
