@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cabrank.functions import columns as c
+from cabrank.operators import sizing
 from cabrank.operators.sizing import lookup
 from cabrank.sources.storage import kept
 
@@ -14,6 +15,11 @@ CODE_COLUMNS = {"trip_type", "payment_type", "rate_code_id", "vendor_id", "store
 #: Entries a code list may have to be broadcast without a look at its bytes.
 MOST_CODES = 10_000
 
+#: Crowded keys of a join at most, and the keys a sketch follows to find them.
+MOST_CROWDED, TRACKED_KEYS = 1024, 100_000
+#: Types of keys the sketch can count.
+COUNTABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
 
 def _zone_side(zones: DataFrame, side: str, with_service: bool = True) -> DataFrame:
     names = {"borough": f"{side}_borough", "zone": f"{side}_zone", "service_zone": f"{side}_service_zone"}
@@ -41,17 +47,47 @@ def inner_equi(trips: DataFrame, zones: DataFrame, both: bool = True) -> DataFra
     return add_zone(known, zones, "dropoff") if both else known
 
 
+def crowded_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys that alone fill a task, with the number of parts their rows should be dealt to: key, parts.
+
+    One pass over the keys with a sketch of frequent items, run when this is called. No more than ``MOST_CROWDED`` keys can
+    have a share above one in ``MOST_CROWDED``, so the result is small whatever the input; with more tasks than that, only
+    keys above this share are told. The sketch's counts are estimates; every key it tells has rows.
+    """
+    share = 1 / min(sizing.output_tasks(df), MOST_CROWDED)
+    names = df.select(F.col(key).alias("_key")).filter("_key IS NOT NULL")
+    counted = names.agg(F.count("*").alias("all"), F.expr(f"approx_top_k(_key, {MOST_CROWDED}, {TRACKED_KEYS})").alias("top"))
+    counts = counted.select("all", F.explode("top").alias("top")).select(
+        F.col("top.item").alias(key), F.ceil(F.col("top.count") / (F.col("all") * share)).alias("parts")
+    )
+    return kept(counts.filter("parts > 1"))
+
+
 def left_outer(left: DataFrame, right: DataFrame, key: str, condition: Column | None = None) -> DataFrame:
     """All left rows; an extra condition limits the matches, not the result.
 
-    Adaptive execution splits a crowded key of an inner join on either side, but not the right
-    side of an outer join, so the left rows without a match are found and added on their own.
+    Adaptive execution splits a crowded key on the left side of an outer join, but not on the right. So right rows of a
+    crowded key are dealt to several parts by the hash of the row, and left rows of such a key meet each part. A crowded key
+    has matches, so the copies of its left rows that met an empty part are dropped; all other rows are joined as usual.
+    Each input is read once, after one pass over the keys of the right. Rows that repeat in all columns share a part.
     """
     if condition is not None:
         right = right.filter(condition)
-    matched = left.join(right, key, "inner")
-    alone = left.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    if not isinstance(right.schema[key].dataType, COUNTABLE):
+        alone = left.join(right.select(key).distinct(), key, "left_anti")
+        return left.join(right, key, "inner").unionByName(alone, allowMissingColumns=True)
+    crowded = crowded_keys(right, key)
+    if crowded.isEmpty():
+        return left.join(right, key, "left")
+
+    def with_parts(df: DataFrame, part: Column) -> DataFrame:
+        return df.join(F.broadcast(crowded.withColumnRenamed("parts", "_parts")), key, "left").withColumn("_part", part)
+
+    parts = F.coalesce("_parts", F.lit(1))
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in right.schema if not isinstance(f.dataType, T.MapType)])
+    met = with_parts(left, F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = with_parts(right, F.pmod(row, parts)).withColumn("_met", F.lit(True)).drop("_parts")
+    return met.join(dealt, [key, "_part"], "left").filter("_parts IS NULL OR _met").drop("_part", "_parts", "_met")
 
 
 def left_then_filter(left: DataFrame, right: DataFrame, key: str, condition: Column) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
@@ -74,11 +75,46 @@ def test_spread_only_touches_small_inputs(bound):
 
 
 def test_crowded_key_of_a_left_join_can_be_split(spark):
-    left = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z"), (2, "again")], "k int, l string")
-    right = spark.createDataFrame([(1, i) for i in range(500)] + [(3, 0), (None, 1)], "k int, r int")
+    left = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z"), (2, "again"), (1, "x")], "k int, l string")
+    right = spark.createDataFrame([(1, i) for i in range(500)] + [(3, 0), (None, 1), (2, 4)], "k int, r int")
     joined = joins.left_outer(left, right, "k")
+    assert [r.k for r in joins.crowded_keys(right, "k").collect()] == [1]
+    assert joined.columns == ["k", "l", "r"] and "_part" in plan_of(joined)
     assert sorted(map(str, joined.collect())) == sorted(map(str, left.join(right, "k", "left").collect()))
-    assert "LeftOuter" not in plan_of(joined)
+
+
+def test_left_join_where_one_driver_has_half_of_the_rides(bound):
+    drivers = bound.drivers.select("driver_id", "first_name")
+    busiest = drivers.agg(F.min("driver_id")).first()[0]
+    rides = bound.rides.select("ride_id", "total_fare", F.when(F.col("ride_id") % 2 == 0, F.lit(busiest)).otherwise(F.col("driver_id")).alias("driver_id"))
+    joined, plain = joins.left_outer(drivers, rides, "driver_id"), drivers.join(rides, "driver_id", "left")
+    assert joined.columns == plain.columns and sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
+    plan = lambda df: plan_of(df).split("== Physical Plan ==")[-1].count("Scan parquet")
+    assert plan(joined) == plan(plain) > 0  # each input is read once
+    assert "CartesianProduct" not in plan_of(joined) and "NestedLoop" not in plan_of(joined)
+    # No part of the crowded driver holds more than a task's share, or somewhat above as hashes vary.
+    crowded = joins.crowded_keys(rides, "driver_id")
+    share = rides.count() / sizing.output_tasks(rides)
+    parts = math.ceil(rides.filter(F.col("driver_id") == busiest).count() / share)
+    assert [(r.driver_id, r.parts) for r in crowded.collect()] == [(busiest, parts)] and parts >= 2
+    part = F.pmod(F.xxhash64("ride_id", "total_fare", "driver_id"), F.col("parts"))
+    sizes = [r["count"] for r in rides.join(crowded, "driver_id").groupBy(part).count().collect()]
+    assert len(sizes) == parts and max(sizes) <= 1.3 * share
+
+
+def test_left_join_without_crowded_keys_and_of_other_types(spark):
+    left = spark.createDataFrame([(i, "l") for i in range(40)] + [(None, "n")], "k int, l string")
+    right = spark.createDataFrame([(i, i) for i in range(20, 60)], "k int, r int")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert "_part" not in plan_of(joins.left_outer(left, right, "k"))
+    assert same(joins.left_outer(left, right, "k"), left.join(right, "k", "left"))
+    assert same(joins.left_outer(left, right.limit(0), "k"), left.join(right.limit(0), "k", "left"))
+    assert joins.left_outer(left.limit(0), right, "k").collect() == []
+    for kind in ("string", "date", "decimal(12,2)", "binary"):
+        key = F.expr("date_add(DATE'2024-01-01', k)") if kind == "date" else F.col("k").cast("string").cast(kind)
+        hot = right.unionAll(spark.createDataFrame([(25, -i) for i in range(200)], "k int, r int"))
+        a, b = left.withColumn("k", key), hot.withColumn("k", key)
+        assert same(joins.left_outer(a, b, "k"), a.join(b, "k", "left")), kind
 
 
 def test_rows_of_the_same_hour_are_joined(spark):
