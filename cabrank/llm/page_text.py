@@ -281,8 +281,14 @@ SIDE_NAMES = (
     "ad ads advert advertisement sponsor sponsored promo banner sidebar side aside widget related recommended more nav navigation menu "
     "navbar topbar breadcrumb breadcrumbs header masthead footer foot bottom copyright notice notices cookie cookies consent gdpr alert "
     "warning message popup modal overlay newsletter subscribe signup login search form share social tags meta byline pagination pager "
-    "comment comments reply replies discussion respond disqus feedback toolbar skip legal disclaimer announcement"
+    "comment comments commentlist reply replies discussion respond disqus feedback toolbar skip legal disclaimer announcement "
+    "complementary contentinfo"
 ).split()
+#: Those that stand inside a main part most often.
+INNER_NAMES = "ad ads advert promo sponsored aside sidebar related share newsletter comment comments".split()
+#: Words that go with a name, in main and other parts alike.
+NAME_ENDS = "box body list item text area wrapper inner content section block title links buttons posts".split()
+TITLE_NAMES = "title headline heading entry-title post-title article-title page-title".split()
 SIDE_TAGS = "nav header footer aside form menu button label select option legend".split()
 
 
@@ -299,11 +305,24 @@ def layouts(rnd: np.random.Generator, prose: list[str], side: list[str], n: int)
     """Invented pages: paragraphs of the sample in a main part, other parts before, in and after it, with their labels."""
     pick = lambda values: values[int(rnd.integers(len(values)))]
 
-    def part(above: tuple[str, ...]) -> list[Block]:
+    def bare(above: tuple[str, ...]) -> list[Block]:
+        """A part without a name: only its links tell that it is not main text."""
+        inner = pick([("div", "ul", "li"), ("ul", "li"), ("div",), ("div", "p"), ("p",), ("div", "div"), ("table", "tr", "td")])
+        one = inner[-1] != "li" and rnd.random() < 0.7
+        sign = pick([" | ", " - ", " / ", " "])
+        blocks = []
+        for _ in range(1 if one else int(rnd.integers(2, 8))):
+            links = [" ".join(pick(side).split()[: int(rnd.integers(1, 4))]) or "more" for _ in range(int(rnd.integers(1, 6)) if one else 1)]
+            blocks.append(((*above, *inner), sign.join(links), sum(map(len, links))))
+        return blocks
+
+    def part(above: tuple[str, ...], within: bool = False) -> list[Block]:
         """A part that is not main text: short links, or prose of its own, as in comments and notices."""
-        name = pick(SIDE_NAMES)
+        if not within and rnd.random() < 0.2:
+            return bare(above)
+        name = pick(INNER_NAMES if within and rnd.random() < 0.6 else SIDE_NAMES)
         kind = int(rnd.integers(4))
-        top = pick(SIDE_TAGS[:6]) if kind == 0 else f"{pick(['div', 'div', 'section', 'aside', 'ul', 'p'])} {pick([name, name, f'{name} {pick(SIDE_NAMES)}', f'site-{name}', f'{name}-box'])}"
+        top = pick(SIDE_TAGS[:6]) if kind == 0 else f"{pick(['div', 'div', 'section', 'aside', 'ul', 'ol', 'p'])} {pick([name, name, name, f'{name} {pick(SIDE_NAMES)}', f'site-{name}', f'{name}-{pick(NAME_ENDS)}', f'{name}-{pick(MAIN_NAMES)}'])}"
         inner = pick([("ul", "li"), ("div",), ("p",), ("div", "p"), (), ("section", "p"), ("ol", "li"), ("label",), ("h3",)])
         blocks = []
         if rnd.random() < 0.4:
@@ -316,7 +335,7 @@ def layouts(rnd: np.random.Generator, prose: list[str], side: list[str], n: int)
 
     def dressed() -> str:
         name = pick(MAIN_NAMES)
-        return pick(["article", "article", "main", f"div {name}", f"div {name} {pick(MAIN_NAMES)}", f"section {name}", f"article {name}", f"div {name}-body", "div", "section"])
+        return pick(["article", "article", "main", f"div {name}", f"div {name} {pick(MAIN_NAMES)}", f"section {name}", f"article {name}", f"div {name}-{pick(NAME_ENDS)}", "div", "section"])
 
     for _ in range(n):
         above: tuple[str, ...] = pick([("html", "body"), ("body",), ("html", "body", "div"), ("html", "body", "div page"), ("html", "body", "div wrapper container"), ()])
@@ -330,7 +349,11 @@ def layouts(rnd: np.random.Generator, prose: list[str], side: list[str], n: int)
             add(part(above), 0)
         holder = (*above, *([pick(["main", "div main", "div content", "div"])] if rnd.random() < 0.3 else []), dressed())
         if rnd.random() < 0.7:
-            add([((*holder, pick(["h1", "h1", "h2"])), " ".join(pick(prose).split()[: int(rnd.integers(1, 14))]) or "Title", 0)], 1)
+            heading = pick(["h1", "h1", "h2", f"{pick(['h1', 'h2'])} {pick(TITLE_NAMES)}"])
+            add([((*holder, heading), " ".join(pick(prose).split()[: int(rnd.integers(1, 14))]) or "Title", 0)], 1)
+        outer = holder
+        if rnd.random() < 0.25:
+            holder = (*holder, dressed())
         for _ in range(int(rnd.integers(1, 14))):
             inner = pick([("p",)] * 12 + [("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote",), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"), ("div",), ("div", "p"), ("section", "p"), ()])
             text = pick(prose)
@@ -338,9 +361,9 @@ def layouts(rnd: np.random.Generator, prose: list[str], side: list[str], n: int)
             if text:
                 add([((*holder, *inner), text, int(len(text) * 0.1) if rnd.random() < 0.2 else 0)], 1)
             if rnd.random() < 0.12:
-                add(part(holder), 0)
+                add(part(holder, True), 0)
         if rnd.random() < 0.6:
-            add(part(holder), 0)
+            add(part(pick([holder, outer]), True), 0)
         for _ in range(int(rnd.integers(0, 4))):
             add(part(above), 0)
         if blocks:
