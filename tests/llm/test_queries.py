@@ -19,7 +19,7 @@ from test_models import slow_targets
 from test_near_copies import expected as similar_groups
 from test_registry import table
 
-TABLES = ("documents", "pages", "embeddings", "labels")
+TABLES = ("documents", "pages", "embeddings", "labels", "benchmark", "conversations")
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +39,7 @@ def library():
 
 def test_all_are_registered():
     found = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(found) and set(queries.ORACLE) <= set(entry.oracle_sql())
 
 
