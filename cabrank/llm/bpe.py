@@ -9,10 +9,14 @@ pair. A sequence in which all neighbours are compatible is the one that merging
 rank gives, and no place is tried again once it is known to lead nowhere, so the
 work is linear in the length of a piece, however long.
 
+A short piece takes its longest matches in one run of the automaton as long as they are
+compatible, which is often its end; from there on, matches are looked up where they are needed.
+
 Each match of the pattern is encoded on its own, and one that is itself a token
-stays whole. Texts are taken apart into segments first, which repeat more than texts do:
-``segment`` must cover the text without cutting a match, as the default does for patterns
-that never pass from a character that is not white space to one that is. Null texts count as empty. Repeated rows and null doc_ids keep their
+stays whole. Pieces repeat more than texts do, so the short ones that were met last are remembered.
+A very long text is taken apart into parts of whole segments first: ``segment`` must cover the text
+without cutting a match, as the default does for patterns that never pass from a character that is
+not white space to one that is. Null texts count as empty. Repeated rows and null doc_ids keep their
 rows; an empty table gives an empty result; further columns are left alone.
 """
 
@@ -24,7 +28,7 @@ import hashlib
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, islice
 
 import ahocorasick
@@ -39,12 +43,14 @@ from cabrank.llm.token_counts import SEGMENT
 
 #: Bytes whose matches are looked up at a time.
 WINDOW = 4096
-#: Segments, pieces and pairs of tokens that a worker remembers at most; together about 100 MB.
+#: Long pieces of the part at hand, short pieces and pairs of tokens that a worker remembers at most; together about 100 MB.
 REMEMBERED_SEGMENTS = 100_000
-REMEMBERED_PIECES = 150_000
+REMEMBERED_PIECES = 250_000
 REMEMBERED_PAIRS = 200_000
 #: Tokens and documents in a batch of results, about.
 TOKENS_OUT, ROWS_OUT = 1 << 19, 2_000
+#: Characters, and bytes, of a piece that is short, and characters of a part of a text, about.
+SHORT, PART = 64, 1 << 20
 NEVER = sys.maxsize
 
 
@@ -66,6 +72,28 @@ def trim(remembered: dict, most: int) -> None:
             del remembered[key]
 
 
+class Remembered(dict):
+    """What ``find`` gives for pieces; of the short ones, those that were asked for last are remembered."""
+
+    def __init__(self, find: Callable[[str], tuple[int, ...]]):
+        self.find, self.before = find, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        found = self.before.get(piece)
+        if found is None:
+            found = self.find(piece)
+        if len(piece) <= SHORT:
+            if len(self) >= REMEMBERED_PIECES // 2:
+                self.before = dict(self)
+                super().clear()
+            self[piece] = found
+        return found
+
+    def clear(self) -> None:
+        super().clear()
+        self.before = {}
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; made once per worker."""
 
@@ -81,9 +109,10 @@ class Codec:
         self.matcher.make_automaton()
         self.edges = functools.lru_cache(len(ranks))(self._edges)
         self.shorter = functools.lru_cache(len(ranks))(self._shorter)
-        self.segment = re.compile(segment).findall if segment else lambda text: [text]
+        self.segment = re.compile(segment).finditer if segment else None
+        self.paths: dict[str, int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = Remembered(self._piece)
         self.segments: dict[str, tuple[int, ...]] = {}
 
     def _edges(self, token: int) -> tuple[list, list] | None:
@@ -118,13 +147,16 @@ class Codec:
         """
         if self.edges(left) is None or self.edges(right) is None:
             return False
-        begins = -1
+        begins, rank_of = -1, self.ranks.get
         for a, a_ends in self.edges(left)[1]:
             b_begins = -1
             for b, b_ends in self.edges(right)[0]:
-                rank = self.ranks.get(a + b, NEVER)
-                if rank < a_ends and rank <= b_ends and rank != NEVER and begins < b_ends and b_begins <= a_ends:
-                    return False
+                if b_begins > a_ends:
+                    break
+                if begins < b_ends:
+                    rank = rank_of(a + b, NEVER)
+                    if rank < a_ends and rank <= b_ends and rank != NEVER:
+                        return False
                 b_begins = b_ends
             begins = a_ends
         return True
@@ -144,6 +176,61 @@ class Codec:
             found[last - before - start] = token
         return found
 
+    def _path(self, path: str) -> int:
+        """The longest token that a path of the automaton begins with; there are no more paths than bytes in all tokens."""
+        tokens = (self.ranks.get(path[:n].encode("latin-1")) for n in range(len(path), 0, -1))
+        token = self.paths[path] = next(t for t in tokens if t is not None)
+        return token
+
+    def _short(self, text: str) -> list[int]:
+        """The tokens of a short piece: longest matches in one run while they are compatible, then as ``backtrack`` does."""
+        n, lengths, pairs, paths, prefix = len(text), self.lengths, self.pairs, self.paths, self.matcher.longest_prefix
+        out: list[int] = []
+        at, left = 0, None
+        for _, (_, token) in self.matcher.iter_long(text):
+            if left is None:
+                fits = self.edges(token) is not None
+            else:
+                fits = pairs.get((left, token))
+                if fits is None:
+                    fits = self.compatible(left, token)
+            if not fits:
+                break
+            out.append(token)
+            at += lengths[token]
+            left = token
+        if at == n:
+            return out
+        dead = bytearray(n + 1)
+        while True:
+            path = text[at:]
+            path = path[: prefix(path)]
+            token = paths.get(path)
+            if token is None:
+                token = self._path(path)
+            while True:
+                end = at + lengths[token]
+                if dead[end]:
+                    fits = False
+                elif not out:
+                    fits = self.edges(token) is not None
+                else:
+                    fits = pairs.get((out[-1], token))
+                    if fits is None:
+                        fits = self.compatible(out[-1], token)
+                if fits:
+                    break
+                token = self.shorter(token)
+                while token is None:
+                    dead[at] = 1
+                    token = out.pop()
+                    at -= lengths[token]
+                    token = self.shorter(token)
+            out.append(token)
+            at = end
+            if at == n:
+                return out
+
     def backtrack(self, data: bytes) -> list[int]:
         """The tokens of one piece, which is not empty."""
         text, n, lengths, pairs = data.decode("latin-1"), len(data), self.lengths, self.pairs
@@ -189,28 +276,34 @@ class Codec:
         return start, windows[start]
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        found = self.pieces.get(piece)
+        data = piece.encode("utf-8")
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return (whole,)
+        if len(data) <= SHORT:
+            return tuple(self._short(data.decode("latin-1")))
+        found = self.segments.get(piece)
         if found is None:
-            data = piece.encode("utf-8")
-            whole = self.ranks.get(data)
-            found = tuple(self.backtrack(data)) if whole is None else (whole,)
-            if len(piece) <= 64:
-                trim(self.pieces, REMEMBERED_PIECES)
-                self.pieces[piece] = found
+            trim(self.segments, REMEMBERED_SEGMENTS)
+            found = self.segments[piece] = tuple(self.backtrack(data))
         return found
 
+    def parts(self, text: str) -> Iterator[str]:
+        """The text in parts of bounded length, where a segment ends in time."""
+        start = 0
+        if self.segment and len(text) > PART:
+            for segment in self.segment(text):
+                if segment.end() - start >= PART:
+                    yield text[start : segment.end()]
+                    start = segment.end()
+        yield text[start:]
+
     def encode(self, text: str) -> array:
         """The ids of a whole text."""
-        segments, known, long = self.segment(text), self.segments, {}
-        for segment in set(segments).difference(known):
-            tokens = tuple(chain.from_iterable(map(self._piece, self.split(segment))))
-            (known if len(segment) <= 64 else long)[segment] = tokens
-        if long:
-            found = (known.get(s) or long[s] for s in segments)
-        else:
-            found = map(known.__getitem__, segments)
-        ids = array("I", chain.from_iterable(found))
-        trim(known, REMEMBERED_SEGMENTS)
+        ids = array("I")
+        for part in self.parts(text):
+            ids.extend(chain.from_iterable(map(self.pieces.__getitem__, self.split(part))))
+            self.segments.clear()
         return ids
 
     def forget(self) -> None:

@@ -54,6 +54,24 @@ def test_little_is_remembered(own, library, monkeypatch):
     assert max(map(len, (own.pieces, own.pairs))) <= 5
 
 
+def test_words_met_last_are_not_encoded_again(own, library, monkeypatch):
+    """Words that return in every text stay remembered, however many others come between them."""
+    monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 200)
+    monkeypatch.setattr(bpe, "PART", 300)
+    own.pieces.clear()
+    own.segments.clear()
+    asked = []
+    monkeypatch.setattr(own.pieces, "find", lambda piece: asked.append(piece) or own._piece(piece))
+    rnd = random.Random(4)
+    often = [f" {w}zq" for w in ("kelmorant", "vistrapol", "quendrimax")]
+    for k in range(40):
+        others = [" " + "".join(rnd.choices("abcdefghijkl", k=9)) for _ in range(30)]
+        text = "".join([*others, *often, " " + "x" * (60 + k % 9), "\n" * 70, "é" * 40]) * 2
+        assert list(own.encode(text)) == library.encode_ordinary(text)
+        assert len(own.pieces) + len(own.pieces.before) <= 200
+    assert all(asked.count(w) == 1 for w in often)
+
+
 def test_pairs_are_compatible_if_merging_leaves_them(own):
     rnd = random.Random(2)
     for _ in range(20000):
