@@ -25,7 +25,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: texts whose five-word shingles are 0.8 or more alike."""
+    """One document of each group of near copies: SimHash components and minimum hashes, checked by five-word shingles 0.8 alike."""
     return near_copies_of.keep_one(docs)
 
 

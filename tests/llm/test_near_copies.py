@@ -6,7 +6,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from cabrank.llm import near_copies
+from cabrank.llm import near_copies, simhash
 from conftest import SMALL
 from test_duplicates import union_find
 
@@ -87,3 +87,27 @@ def test_other_shingle_and_similarity(spark):
     assert sorted((r.doc_id or 0, r.text) for r in near_copies.keep_one(docs, 1, 0.6).collect() if r.text) == [(1, "a b c d"), (3, "x y z")]
     assert near_copies.keep_one(docs).count() == 4
     assert near_copies.keep_one(docs.limit(0)).collect() == []
+
+
+def test_simhash_components_are_buckets(spark):
+    """Texts of one SimHash component meet without any minimum hash in common, and only alike ones are linked."""
+    rnd = random.Random(8)
+    phrase = "to be or " * 100
+    texts = [phrase + " ".join(f"{p}{i}" for i in range(40)) for p in "xy"]
+    for _ in range(6):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+        texts += [" ".join(base), " ".join([*base, "more"]), " ".join(edited(rnd, base, 1))]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = [simhash.fingerprint(t) for t in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= simhash.DISTANCE]
+    sets = [slow_shingles(t) for t in texts]
+    alike = [(a, b) for a, b in near if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert (1, 0) in near and (1, 0) not in alike and len(alike) > 6
+
+    unlike = near_copies.F.array(near_copies.F.xxhash64("doc_id"))  # in place of minimum hashes
+    named = docs.select("doc_id", near_copies._node().alias("node"), simhash.fingerprints("text").alias("fp"), unlike.alias("keys"))
+    roots = {bytes(r.node): bytes(r.root) for r in near_copies.connected(near_copies.links(docs, near_copies.with_prints(named))).collect()}
+    found = {r.doc_id: roots.get(bytes(r.node), bytes(r.node)) for r in named.collect()}
+    of = union_find([(k, k) for k in range(len(texts))] + alike)
+    assert all((of[a] == of[b]) == (found[a] == found[b]) for a in of for b in of)
