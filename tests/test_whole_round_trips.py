@@ -27,3 +27,16 @@ def test_combined_sample(bound):
 
 def test_rides(bound):
     same(q.json_round_trip(bound), bound.rides)
+
+
+def test_a_repeated_load_does_not_join_its_source_again(bound, monkeypatch):
+    plans, load = [], storage.load_verified
+
+    def spied(df, path):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return load(df, path)
+
+    monkeypatch.setattr(storage, "load_verified", spied)
+    found = q.load_and_verify(bound).collect()
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
+    assert [(r.failed_batches, r.checked_rows) for r in found] == [(0, bound.trips_all.count())]
