@@ -126,3 +126,33 @@ def test_rows_of_the_same_hour_are_joined(spark):
     )
     assert names("inner") == [("a", "r"), ("a", "s")]
     assert names("left") == [("a", "r"), ("a", "s"), ("b", ""), ("c", "")]
+
+
+def test_crowded_hour_is_joined_part_by_part(spark, monkeypatch):
+    monkeypatch.setattr(joins, "CELL_ROWS", 20)
+    at = lambda hour, i: dt.datetime(2024, 1, 1, hour, i % 60)
+    # Crowded on both sides, on one side, on a side without matches, on neither; keys and times that are null; repeated rows.
+    cells = {(1, 8): (90, 130), (1, 9): (50, 3), (2, 8): (2, 70), (2, 9): (45, 0), (3, 8): (0, 45), (3, 9): (4, 5)}
+    rides = [(zone, at(hour, i), f"ride {zone} {hour} {i}") for (zone, hour), (n, _) in cells.items() for i in range(n)]
+    reports = [(zone, at(hour, i), f"report {zone} {hour} {i}") for (zone, hour), (_, n) in cells.items() for i in range(n)]
+    rides += [(None, at(8, i), f"nowhere {i}") for i in range(30)] + [(1, None, f"some time {i}") for i in range(30)] + rides[:5]
+    reports += [(None, at(8, i), "nowhere") for i in range(30)] + [(1, None, "some time") for _ in range(30)] + reports[:5]
+    left = spark.createDataFrame(rides, "zone int, t timestamp, ride string")
+    right = spark.createDataFrame(reports, "zone bigint, u timestamp, report string")
+    hour = lambda df, time: df.withColumn("h", F.date_trunc("hour", time))
+    for how in ("inner", "left"):
+        joined = joins.time_bucket_join(left, right, ["zone"], "t", "u", how)
+        plain = hour(left, "t").join(hour(right, "u"), ["zone", "h"], how).drop("h")
+        assert joined.schema == plain.schema and "_right_part" in plan_of(joined)
+        assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect())), how
+        few = joins.time_bucket_join(left, right.limit(0), ["zone"], "t", "u", how)
+        assert few.count() == (len(rides) if how == "left" else 0)
+    crowded = joins.crowded_cells(hour(left, "t"), hour(right, "u"), ["zone", "h"]).collect()
+    assert sorted((r.zone, r.h.hour, r._left_parts or 1, r._right_parts or 1) for r in crowded) == [
+        (1, 8, 5, 7), (1, 9, 3, 1), (2, 8, 1, 4), (2, 9, 3, 1), (3, 8, 1, 3)]
+
+
+def test_hours_that_are_not_crowded_are_joined_as_they_are(bound):
+    rides, reports = bound.rides.select("ride_id", "pickup_zone_id", "pickup_datetime"), bound.weather.withColumnRenamed("zone_id", "pickup_zone_id")
+    plan = plan_of(joins.time_bucket_join(rides, reports, ["pickup_zone_id"], "pickup_datetime", "datetime", "left"))
+    assert "_right_part" not in plan and "Generate" not in plan
