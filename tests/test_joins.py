@@ -156,3 +156,14 @@ def test_hours_that_are_not_crowded_are_joined_as_they_are(bound):
     rides, reports = bound.rides.select("ride_id", "pickup_zone_id", "pickup_datetime"), bound.weather.withColumnRenamed("zone_id", "pickup_zone_id")
     plan = plan_of(joins.time_bucket_join(rides, reports, ["pickup_zone_id"], "pickup_datetime", "datetime", "left"))
     assert "_right_part" not in plan and "Generate" not in plan
+
+
+def test_left_rows_that_meet_empty_parts_of_a_crowded_hour_stay_matched(spark, monkeypatch):
+    monkeypatch.setattr(joins, "CELL_ROWS", 20)
+    noon = dt.datetime(2024, 1, 1, 12)
+    rides = spark.createDataFrame([(1, noon, "a"), (1, noon, "a"), (2, noon, "b")], "zone int, t timestamp, ride string")
+    reports = spark.createDataFrame([(1, noon, "same")] * 100, "zone int, u timestamp, report string")  # all of them share a part
+    joined = joins.time_bucket_join(rides, reports, ["zone"], "t", "u", "left")
+    assert "_right_part" in plan_of(joined)
+    counts = {(r.ride, r.report): r["count"] for r in joined.groupBy("ride", "report").count().collect()}
+    assert counts == {("a", "same"): 200, ("b", None): 1}
